@@ -7,13 +7,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# Names of the zone in which wall clock and instant agree.
+UTC_NAMES = frozenset({"UTC", "Etc/UTC", "GMT", "Etc/GMT", "Z", "Zulu", "+00:00"})
+
+
 def micros(df: DataFrame, name: str) -> Column:
     """Microseconds since the epoch of a timestamp column, as BIGINT.
 
     A TIMESTAMP_NTZ column is read as UTC wall clock whatever the session zone:
-    a cast to TIMESTAMP would not keep the order across a daylight-saving gap.
+    a cast to TIMESTAMP, though cheaper, would not keep the order across a
+    daylight-saving gap and is used in UTC only.
     """
     if isinstance(df.schema[name].dataType, T.TimestampNTZType):
+        if df.sparkSession.conf.get("spark.sql.session.timeZone") in UTC_NAMES:
+            return F.unix_micros(F.col(name).cast("timestamp"))
         since = F.col(name) - F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
         return (since.cast("interval second").cast("decimal(20,6)") * 1_000_000).cast("bigint")
     return F.unix_micros(F.col(name))

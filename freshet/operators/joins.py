@@ -52,9 +52,13 @@ def window_join(
             F.col("window.end").alias("window_end"),
             *[c for c in joined.columns if c not in {*keys, "window"}],
         )
-    on = [*keys, "window_start", "window_end"]
-    a, b = _side(with_window(left, ts, size), "left", on), _side(with_window(right, ts, size), "right", on)
-    return spread_join(a, b, on, f"left_{row_id}", f"right_{row_id}", slot_rows)
+    on = [*keys, "window_start"]
+    a, b = [with_window(df, ts, size).drop("window_end") for df in (left, right)]
+    pairs = spread_join(
+        _side(a, "left", on), _side(b, "right", on), on, f"left_{row_id}", f"right_{row_id}", slot_rows
+    )
+    window_end = (F.col("window_start") + interval(size)).alias("window_end")
+    return pairs.select(*on, window_end, *[c for c in pairs.columns if c not in on])
 
 
 def interval_join(

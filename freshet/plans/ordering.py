@@ -227,8 +227,8 @@ def running(
     if slots is None:
         frame = Window.partitionBy(*keys).orderBy(*order)
     else:
+        hot_rows = slots.assign(rows.where(slots.is_hot()) if keys else rows)
         rows = slots.assign(rows)
-        hot_rows = rows.where(F.col(_SLOT) != COLD) if keys else rows
         totals = hot_rows.groupBy(*keys, _SLOT).agg(
             *[m.slot_total(inputs[name], order).alias(inputs[name]) for name, m in measures.items()]
         )
