@@ -123,7 +123,7 @@ def recent_history(
     Rows of a hot key are cut into slots, and each is also copied to the later
     slots whose rows can still see it.
     """
-    ts, *rest = order
+    ts = order[0]
     slots = plan_slots(df, [key], order, slot_rows)
     rows = df.withColumn("__entry", F.struct(*order, value.alias("item")))
     if slots is None:
@@ -139,12 +139,19 @@ def recent_history(
         f"RANGE BETWEEN INTERVAL '{ttl}' PRECEDING AND CURRENT ROW)"
     )
     listed = placed.withColumn("__entries", F.expr(window)).where(F.col("__at") == F.col("__home"))
-    # A range frame holds all rows of the current time; keep those not after this one.
-    upto = F.struct(*order)
-    kept = F.filter(
-        F.array_sort("__entries"), lambda e: F.struct(*[e[c].alias(c) for c in order]) <= upto
-    ) if rest else F.col("__entries")
-    return listed.withColumn(name, F.transform(kept, lambda e: e["item"])).select(*df.columns, name)
+    # A range frame holds all rows of the current time, in any order: put them in
+    # order and, where this row is not the last of them, leave out the later ones.
+    listed = listed.withColumn("__entries", F.sort_array("__entries"))
+    entries = F.col("__entries")
+    this = F.struct(*order)
+
+    def moment(entry: Column) -> Column:
+        return F.struct(*[entry[c].alias(c) for c in order])
+
+    kept = F.when(moment(F.element_at(entries, -1)) == this, entries).otherwise(
+        F.filter(entries, lambda entry: moment(entry) <= this)
+    )
+    return listed.withColumn(name, kept["item"]).select(*df.columns, name)
 
 
 def value_at_expiry(ts: str, ttl: str) -> Column:

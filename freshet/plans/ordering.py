@@ -31,6 +31,9 @@ from freshet.functions.times import micros
 SLOT_ROWS = 1_000_000
 """Rows one task should sort; sets the number of slots on large tables."""
 
+MIN_SLOT_ROWS = 1_000
+"""Rows worth a slot of their own, however many tasks the session asks for."""
+
 MAX_SLOTS = 32_768
 """Upper bound for slots, hot keys and therefore for everything collected."""
 
@@ -58,8 +61,8 @@ class Measure:
     def slot_total(self, name: str, order: Sequence[str]) -> Column:
         if self.kind != "list":
             return self.combine(name)
-        ordered = F.array_sort(F.collect_list(F.struct(*order, F.col(name).alias("items"))))
-        return F.flatten(F.transform(ordered, lambda entry: entry["items"]))
+        ordered = F.sort_array(F.collect_list(F.struct(*order, F.col(name).alias("items"))))
+        return F.flatten(ordered["items"])
 
     def finish(self, column: Column) -> Column:
         return F.coalesce(column, F.lit(0)).cast("bigint") if self.kind == "count" else column
@@ -152,7 +155,8 @@ def _position(
 def slot_count(df: DataFrame, rows: int, slot_rows: int | None = None) -> int:
     """How many even shares ``rows`` should be cut into."""
     parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(parallel, math.ceil(rows / (slot_rows or SLOT_ROWS)))
+    worthwhile = min(parallel, math.ceil(rows / MIN_SLOT_ROWS))
+    wanted = max(worthwhile, math.ceil(rows / (slot_rows or SLOT_ROWS)))
     return max(1, min(rows, wanted, MAX_SLOTS))
 
 

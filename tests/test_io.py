@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from freshet.functions import codecs
 from freshet.functions.columns import fizzbuzz, key_partition, up_to
 from freshet.operators import partitioning, rows
-from freshet.plans.scratch import fresh_folder
+from freshet.plans.scratch import fresh_folder, shared_folder
 from freshet.sinks import external, files
 from freshet.sources import events as src
 from freshet.sources import kafka
@@ -163,3 +163,18 @@ def test_stored_wall_clock_is_read_as_utc(spark, data):
         assert a.exceptAll(b).count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+class _Session:
+    """Just what the scratch folder asks of a session."""
+
+    def __init__(self, master, named=None):
+        self.sparkContext = type("Context", (), {"master": master})()
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: named or default)})()
+
+
+def test_scratch_folder_is_the_one_the_cluster_names():
+    assert shared_folder(_Session("spark://host:7077", "hdfs:///scratch/")) == "hdfs:///scratch"
+    assert shared_folder(_Session("local[2]")) == shared_folder(_Session("local[2]"))
+    with pytest.raises(ValueError):
+        shared_folder(_Session("spark://host:7077"))

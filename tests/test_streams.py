@@ -13,7 +13,7 @@ from freshet.plans.scratch import fresh_folder
 from freshet.sources import events as src
 from freshet.streaming import batches, state
 from freshet.streaming import windows as stream_win
-from freshet.streaming.run import drain, drained_table, progress
+from freshet.streaming.run import drain, drained_table, progress, start_continuous
 
 BASE = datetime(2024, 1, 1, tzinfo=timezone.utc)
 ORDER = ["ts", "event_id"]
@@ -211,3 +211,27 @@ def test_arrival_stamp_and_console(spark, split):
     out = drained_table(spark, stamped, "stamped")
     assert out.where("ingest_ts is null").count() == 0 and out.select("ingest_ts").distinct().count() == 3
     assert "ts" in utc_wall_clock(F.col("ts"))._jc.toString()
+
+
+def test_running_on_the_engine_clock(spark, data, split):
+    """A processing-time trigger fires by the clock; update mode shows open windows too."""
+    timed = src.event_time(src.event_stream(spark, split, 1), F.col("ts"), "500 milliseconds")
+    out = fresh_folder(spark, "continuous")
+    query = start_continuous(timed.select("event_id"), f"{out}/data", f"{out}/checkpoint", "1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert spark.read.parquet(f"{out}/data").count() == 1000
+
+    counted = win.tumbling(timed, "ts", "3 hours", {"n": win.count()})
+    writer = counted.writeStream.format("memory").queryName("open_windows").outputMode("update")
+    query = writer.trigger(processingTime="1 second").start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    shown = spark.table("open_windows").groupBy("window_start").agg(F.max("n").alias("n"))
+    want = win.tumbling(src.events(spark, data), "ts", "3 hours", {"n": win.count()})
+    got = shown.select(utc_wall_clock(F.col("window_start")).alias("window_start"), "n")
+    assert rows_of(got) == rows_of(want.select("window_start", "n"))
