@@ -29,13 +29,7 @@ def src_sequence(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_views(spark: SparkSession, folder: str) -> DataFrame:
-    df = _events(spark, folder)
-    views = {"cart": src.cart_events(df), "catalog": src.catalog_events(df), "game": src.game_events(df)}
-    tagged = [view.withColumn("domain", F.lit(name)) for name, view in views.items()]
-    wide = tagged[0]
-    for view in tagged[1:]:
-        wide = wide.unionByName(view, allowMissingColumns=True)
-    return wide
+    return src.typed_events(_events(spark, folder))
 
 
 def _people(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,13 +23,16 @@ from freshet.streaming import windows as stream_win
 from freshet.streaming.run import drained_table
 
 DELAY = "1 hour"
+BATCH_BYTES = 4 << 30
+"""Size of a micro-batch: a key's share of one must fit in a Python task."""
+
 ORDER = ["ts", "event_id"]
 USER = ["user_id"]
 
 
 def _stream(spark: SparkSession, folder: str) -> DataFrame:
     # A pattern, so that one file and a folder of files both serve as the source.
-    return src.event_stream(spark, f"{folder}/{{events}}.parquet")
+    return src.event_stream(spark, f"{folder}/{{events}}.parquet", max_bytes_per_trigger=BATCH_BYTES)
 
 
 def _timed(spark: SparkSession, folder: str) -> DataFrame:

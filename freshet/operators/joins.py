@@ -145,11 +145,11 @@ def latest_control(
     changes = control.select(
         F.col(ts), F.struct(ts, *control_order, F.col(value).alias("value")).alias("change")
     )
-    few = changes.groupBy(ts).agg(F.max("change").alias("change")).limit(limit + 1)
-    found = few.select(micros(few, ts).alias("us"), F.col("change.value").alias("value")).collect()
-    if len(found) > limit:
+    if control.select(ts).limit(limit + 1).count() > limit:
         return _carry_control(df, changes, ts, row_id, value, default, slot_rows)
 
+    last = changes.groupBy(ts).agg(F.max("change").alias("change"))
+    found = last.select(micros(last, ts).alias("us"), F.col("change.value").alias("value")).collect()
     found.sort(key=lambda row: row["us"])
     kind = control.schema[value].dataType
     values = F.array(default.cast(kind), *[F.lit(row["value"]).cast(kind) for row in found])

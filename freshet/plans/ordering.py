@@ -31,6 +31,9 @@ from freshet.functions.times import micros
 SLOT_ROWS = 1_000_000
 """Rows one task should sort; sets the number of slots on large tables."""
 
+SLOTS_PER_TASK = 4
+"""Slots are placed by hash; several per task even out."""
+
 MIN_SLOT_ROWS = 1_000
 """Rows worth a slot of their own, however many tasks the session asks for."""
 
@@ -154,7 +157,7 @@ def _position(
 
 def slot_count(df: DataFrame, rows: int, slot_rows: int | None = None) -> int:
     """How many even shares ``rows`` should be cut into."""
-    parallel = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parallel = SLOTS_PER_TASK * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     worthwhile = min(parallel, math.ceil(rows / MIN_SLOT_ROWS))
     wanted = max(worthwhile, math.ceil(rows / (slot_rows or SLOT_ROWS)))
     return max(1, min(rows, wanted, MAX_SLOTS))

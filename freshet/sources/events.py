@@ -32,12 +32,21 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_stream(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None, schema: T.StructType = EVENT_STREAM
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    schema: T.StructType = EVENT_STREAM,
+    max_bytes_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Event files as an unbounded stream, oldest file first."""
+    """Event files as an unbounded stream, oldest file first.
+
+    Either limit bounds a micro-batch, also when a backlog is drained.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.parquet(path)
 
 
@@ -99,6 +108,42 @@ def game_events(df: DataFrame) -> DataFrame:
     )
 
 
+def typed_events(df: DataFrame) -> DataFrame:
+    """The three views above as one wide row per event, from a single scan.
+
+    ``domain`` tells the view; columns of other views are null.
+    """
+    kind = F.col("event_type")
+    cart, game = kind.isin("purchase", "error"), kind.isin("signup", "click")
+    # Domain and name of each event type.
+    names = {
+        "purchase": ("cart", "added"),
+        "error": ("cart", "removed"),
+        "view": ("catalog", "viewed"),
+        "signup": ("game", "registered"),
+        "click": ("game", "online"),
+    }
+
+    def named(at: int) -> Column:
+        chosen = F
+        for stored, texts in names.items():
+            chosen = chosen.when(kind == stored, F.lit(texts[at]))
+        return chosen
+
+    return of_type(df, *names).select(
+        "event_id",
+        "ts",
+        F.when(~game, F.col("user_id")).alias("user_id"),
+        named(1).alias("event_type"),
+        F.when(cart, sku()).alias("sku"),
+        F.when(cart, quantity()).alias("quantity"),
+        named(0).alias("domain"),
+        F.when(kind == "view", sku()).alias("product_id"),
+        F.when(game, F.col("user_id")).alias("player_id"),
+        F.when(game, F.concat(F.lit("player"), F.col("user_id").cast("string"))).alias("nickname"),
+    )
+
+
 def require_game_type(df: DataFrame, column: str = "game_type") -> DataFrame:
     """Fail the job on a game type outside the allowed values."""
     known = F.col(column).isNull() | F.col(column).isin(*GAME_TYPES)

@@ -1,10 +1,10 @@
-"""``foreachBatch`` functions for state that is not per key.
+"""``foreachBatch`` functions for running state that one task cannot hold.
 
-A whole stream has one running count, and one changing threshold. Giving the
-stream a single key would send it through one task; instead every micro-batch
-runs the distributed batch operator, and only the totals (one row) are carried
-from batch to batch in a table. A repeated batch reads the totals before it and
-overwrites its own folder, so results are exactly once.
+A whole stream has one running count, and a hot key may hold a third of it.
+Keyed state would send either through one task; here every micro-batch runs the
+distributed batch operator, and only the totals per key (one row when there is
+no key) go from batch to batch, in a table. A repeated batch reads the totals
+before it and overwrites its own folders, so results are exactly once.
 """
 
 from __future__ import annotations
@@ -15,38 +15,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from freshet.operators.joins import changing_threshold
-from freshet.plans.ordering import count_if, running
+from freshet.plans.ordering import running, total
 
 Finish = Callable[[DataFrame], DataFrame]
 
 
 def running_counts(
-    path: str, order: Sequence[str], counts: Mapping[str, Column], finish: Finish | None = None
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    counts: Mapping[str, Column],
+    finish: Finish | None = None,
+    slot_rows: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Conditional counts over the whole stream so far, added to every row.
+    """Conditional counts so far, per key or over the whole stream, on every row.
 
     Writes ``path/rows/batch_id=N`` and ``path/totals/batch_id=N``; ``finish``
-    is applied before the rows are written (a filter, a ratio).
+    is applied before the rows are written (a filter, a ratio). A condition of
+    ``lit(True)`` counts rows.
     """
-    names = list(counts)
+    ones = {name: f"__one_{name}" for name in counts}
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        base = {name: 0 for name in names}
-        if batch_id > 0:
-            base = spark.read.parquet(f"{path}/totals/batch_id={batch_id - 1}").first().asDict()
-        sums = batch.agg(
-            *[
-                (F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)) + F.lit(base[n])).cast("bigint").alias(n)
-                for n, c in counts.items()
-            ]
+        rows = batch.select(
+            "*",
+            *[F.when(c, 1).otherwise(0).cast("bigint").alias(ones[n]) for n, c in counts.items()],
+            F.lit(False).alias("__carried"),
         )
-        sums.write.mode("overwrite").parquet(f"{path}/totals/batch_id={batch_id}")
-        counted = running(batch, [], order, {n: count_if(c) for n, c in counts.items()})
-        for name in names:
-            counted = counted.withColumn(name, F.col(name) + F.lit(base[name]))
-        rows = finish(counted) if finish else counted
-        rows.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
+        if batch_id > 0:
+            # Earlier totals enter as rows without a time, which come first in the order.
+            before = batch.sparkSession.read.parquet(f"{path}/totals/batch_id={batch_id - 1}")
+            before = before.select(*keys, *[F.col(n).alias(ones[n]) for n in counts], F.lit(True).alias("__carried"))
+            rows = rows.unionByName(before, allowMissingColumns=True)
+        totals = rows.groupBy(*keys).agg(*[F.sum(ones[n]).alias(n) for n in counts])
+        totals.write.mode("overwrite").parquet(f"{path}/totals/batch_id={batch_id}")
+        counted = running(rows, keys, order, {n: total(F.col(ones[n])) for n in counts}, slot_rows=slot_rows)
+        counted = counted.where(~F.col("__carried")).select(*batch.columns, *counts)
+        (finish(counted) if finish else counted).write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
 
     return write
 

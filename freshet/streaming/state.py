@@ -4,7 +4,8 @@ Rows of a micro-batch reach a key's function unordered and are put in
 ``order`` there; across micro-batches the stream is taken as it comes. A result
 equals the batch operator's when files arrive in time order. State lives in the
 checkpoint, per key, and what one call sees is bounded by the size of a
-micro-batch (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``).
+micro-batch (``maxBytesPerTrigger``, ``maxOffsetsPerTrigger``). For counts of
+keys too hot even for that, see ``streaming.batches``.
 """
 
 from __future__ import annotations

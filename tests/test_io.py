@@ -178,3 +178,11 @@ def test_scratch_folder_is_the_one_the_cluster_names():
     assert shared_folder(_Session("local[2]")) == shared_folder(_Session("local[2]"))
     with pytest.raises(ValueError):
         shared_folder(_Session("spark://host:7077"))
+
+
+def test_typed_events_hold_the_three_views(spark, data):
+    df = src.events(spark, data)
+    wide = src.typed_events(df)
+    for domain, view in (("cart", src.cart_events(df)), ("catalog", src.catalog_events(df)), ("game", src.game_events(df))):
+        chosen = wide.where(F.col("domain") == domain).select(view.columns)
+        assert chosen.exceptAll(view).count() == 0 and chosen.count() == view.count()

@@ -9,6 +9,7 @@ from freshet.functions.times import utc_wall_clock
 from freshet.operators import joins
 from freshet.operators import state as batch_state
 from freshet.operators import windows as win
+from freshet.plans.ordering import count_if, running
 from freshet.plans.scratch import fresh_folder
 from freshet.sources import events as src
 from freshet.streaming import batches, state
@@ -175,20 +176,19 @@ def test_stream_joins_over_several_files_equal_batch(spark, data, split):
     assert got.count() > 0 and rows_of(got) == rows_of(want)
 
 
-def test_unkeyed_counts_carried_over_micro_batches(spark, data):
-    table = src.events(spark, data).select("event_id", "ts", "event_type")
+@pytest.mark.parametrize("keys", [[], ["even"]])
+def test_counts_carried_over_micro_batches(spark, data, keys):
+    table = src.events(spark, data).select("event_id", "ts", "event_type", (F.col("event_id") % 2 == 0).alias("even"))
     is_cart, is_catalog = F.col("event_type") == "purchase", F.col("event_type") == "view"
     both = table.where(is_cart | is_catalog)
     path = fresh_folder(spark, "carried")
-    write = batches.running_counts(path, ORDER, {"cart": is_cart, "catalog": is_catalog})
+    write = batches.running_counts(path, keys, ORDER, {"cart": is_cart, "catalog": is_catalog}, slot_rows=20)
     for part in range(3):
         batch = both.where(F.floor(F.col("event_id") / 400) == part)
         write(batch, part)
         write(batch, part)
     got = spark.read.parquet(f"{path}/rows").select("event_id", "cart", "catalog")
-    from freshet.plans.ordering import count_if, running
-
-    want = running(both, [], ORDER, {"cart": count_if(is_cart), "catalog": count_if(is_catalog)})
+    want = running(both, keys, ORDER, {"cart": count_if(is_cart), "catalog": count_if(is_catalog)})
     assert rows_of(got) == rows_of(want.select(got.columns))
 
 
@@ -235,3 +235,10 @@ def test_running_on_the_engine_clock(spark, data, split):
     want = win.tumbling(src.events(spark, data), "ts", "3 hours", {"n": win.count()})
     got = shown.select(utc_wall_clock(F.col("window_start")).alias("window_start"), "n")
     assert rows_of(got) == rows_of(want.select("window_start", "n"))
+
+
+def test_byte_limit_bounds_a_micro_batch(spark, split):
+    df = src.event_stream(spark, split, max_bytes_per_trigger=1).select("event_id")
+    out = fresh_folder(spark, "bytes")
+    query = drain(df, f"{out}/data", f"{out}/checkpoint")
+    assert [p["rows"] for p in progress(query) if p["rows"]] == [334, 334, 332]
