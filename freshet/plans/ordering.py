@@ -155,9 +155,9 @@ def _position(
     return F.coalesce(main, F.lit(-math.inf))
 
 
-def slot_count(df: DataFrame, rows: int, slot_rows: int | None = None) -> int:
+def slot_count(df: DataFrame, rows: int, slot_rows: int | None = None, per_task: int = 1) -> int:
     """How many even shares ``rows`` should be cut into."""
-    parallel = SLOTS_PER_TASK * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parallel = per_task * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     worthwhile = min(parallel, math.ceil(rows / MIN_SLOT_ROWS))
     wanted = max(worthwhile, math.ceil(rows / (slot_rows or SLOT_ROWS)))
     return max(1, min(rows, wanted, MAX_SLOTS))
@@ -183,7 +183,9 @@ def plan_slots(
     tie_low = float(low or 0)
     tie_span = float(high - low + 1) if low is not None else 0.0
 
+    # A key is hot above one task's share; its rows are then cut finer than that.
     shares = slot_count(df, rows, slot_rows)
+    cuts = slot_count(df, rows, slot_rows, SLOTS_PER_TASK)
     if shares == 1:
         return None if keys else Slots(tuple(order), (), (), (), origin, tie_low, tie_span)
 
@@ -191,20 +193,19 @@ def plan_slots(
         (F.xxhash64(*keys) if keys else F.lit(0).cast("bigint")).alias(_HASH),
         _position(df, order, origin, tie_low, tie_span).alias(_POSITION),
     )
-    fraction = SAMPLE_ROWS_PER_SLOT * shares / rows
+    fraction = SAMPLE_ROWS_PER_SLOT * cuts / rows
     if fraction < 1:
         sample = sample.sample(fraction=fraction, seed=17)
 
     hot: tuple[int, ...] = ()
-    cuts = shares
     if keys:
-        share_rows = min(1.0, fraction) * rows / shares
-        heavy = sample.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > share_rows)
+        sampled = min(1.0, fraction) * rows
+        heavy = sample.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > sampled / shares)
         found = heavy.collect()
         if not found:
             return None
         hot = tuple(sorted(row[_HASH] for row in found))
-        cuts = min(shares, math.ceil(sum(row["n"] for row in found) / share_rows))
+        cuts = min(cuts, math.ceil(cuts * sum(row["n"] for row in found) / sampled))
         sample = sample.where(F.col(_HASH).isin(list(hot)))
 
     splits: tuple[float, ...] = ()
