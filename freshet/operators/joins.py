@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from freshet.functions.columns import share_percent
 from freshet.functions.times import interval, interval_micros, micros
 from freshet.operators.windows import with_window
-from freshet.plans.ordering import count_if, highest, running
+from freshet.plans.ordering import count_if, latest, running
 from freshet.plans.skew import spread_join
 
 CONTROL_LIMIT = 4_096
@@ -138,18 +138,20 @@ def latest_control(
     """Add the control value in force at each row's time, ``default`` before the first.
 
     ``control`` has ``ts``, ``value`` and columns that order changes made at
-    one time, the last of which counts (``control_order``, after ``ts``). Up to
-    ``limit`` changes are looked up in a literal list; a larger control stream
-    is united with the rows and carried forward, whatever its size.
+    one time, the last of which counts (``control_order``); a null value changes
+    nothing. Up to ``limit`` changes are looked up in a literal list; a larger
+    control stream is united with the rows and carried forward, whatever its size.
     """
-    changes = control.select(
-        F.col(ts), F.struct(ts, *control_order, F.col(value).alias("value")).alias("change")
-    )
+    known = control.where(F.col(value).isNotNull() & F.col(ts).isNotNull()).groupBy(ts)
+    if not control_order:
+        last = F.max(value)
+    else:
+        last = F.max_by(value, control_order[0] if len(control_order) == 1 else F.struct(*control_order))
+    changes = known.agg(last.alias(value))
     if control.select(ts).limit(limit + 1).count() > limit:
         return _carry_control(df, changes, ts, row_id, value, default, slot_rows)
 
-    last = changes.groupBy(ts).agg(F.max("change").alias("change"))
-    found = last.select(micros(last, ts).alias("us"), F.col("change.value").alias("value")).collect()
+    found = changes.select(micros(changes, ts).alias("us"), F.col(value).alias("value")).collect()
     found.sort(key=lambda row: row["us"])
     kind = control.schema[value].dataType
     values = F.array(default.cast(kind), *[F.lit(row["value"]).cast(kind) for row in found])
@@ -165,15 +167,12 @@ def latest_control(
 def _carry_control(
     df: DataFrame, changes: DataFrame, ts: str, row_id: str, value: str, default: Column, slot_rows: int | None
 ) -> DataFrame:
-    # At one time all changes come before the rows, in their own order.
+    # The change made at a row's own time comes before the row.
     rows = df.withColumn("__rank", F.lit(1))
-    marks = changes.withColumn("__rank", F.lit(0))
+    marks = changes.select(ts, F.col(value).alias("__change"), F.lit(0).alias("__rank"))
     both = rows.unionByName(marks, allowMissingColumns=True)
-    # The largest change so far is the latest one: it starts with its time and order.
-    carried = running(
-        both, [], [ts, "__rank", row_id], {"__latest": highest(F.col("change"))}, slot_rows=slot_rows
-    )
-    current = F.coalesce(F.col("__latest.value"), default)
+    carried = running(both, [], [ts, "__rank", row_id], {"__latest": latest(F.col("__change"))}, slot_rows=slot_rows)
+    current = F.coalesce(F.col("__latest"), default)
     return carried.where(F.col("__rank") == 1).select(*df.columns, current.alias(value))
 
 

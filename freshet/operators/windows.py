@@ -6,10 +6,13 @@ the shuffle, so a hot window or type costs one small row per task.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +22,9 @@ from freshet.plans.ordering import count_if as running_count
 from freshet.plans.ordering import highest, running
 from freshet.plans.scratch import materialize
 
+MERGE_PARTS = 256
+"""Groups in which the partial states of one key are merged first."""
+
 CELL_LIMIT = 1_000_000
 """Cells per key that one task may order."""
 
@@ -182,15 +188,15 @@ def accumulate(
     ``open_keys`` accumulators, so what is shuffled for a hot key is a few
     accumulators per task, never its rows.
     """
-    import pickle
-
     keys = list(keys)
-    key_fields = T.StructType([df.schema[k] for k in keys])
-    partial = T.StructType([*key_fields.fields, T.StructField("state", T.BinaryType())])
+    key_fields = [df.schema[k] for k in keys]
+    partial = T.StructType([*key_fields, T.StructField("part", T.LongType()), T.StructField("state", T.BinaryType())])
+    final = T.StructType([*key_fields, *T.StructType.fromDDL(f"`{name}` {result_type}")])
 
     def flush(states: dict) -> pd.DataFrame:
-        rows = [(*key, pickle.dumps(state)) for key, state in states.items()]
-        return pd.DataFrame(rows, columns=[*keys, "state"])
+        part = TaskContext.get().partitionId() % MERGE_PARTS
+        rows = [(*key, part, pickle.dumps(state)) for key, state in states.items()]
+        return pd.DataFrame(rows, columns=[*keys, "part", "state"])
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         states: dict = {}
@@ -203,14 +209,16 @@ def accumulate(
         if states:
             yield flush(states)
 
+    def merged(group: pd.DataFrame) -> Any:
+        return reduce(merge, map(pickle.loads, group["state"]))
+
     def combine(group: pd.DataFrame) -> pd.DataFrame:
-        states = [pickle.loads(s) for s in group["state"]]
-        state = states[0]
-        for other in states[1:]:
-            state = merge(state, other)
-        out = group[keys].head(1).copy()
-        out[name] = [result(state)]
-        return out
-
-    out_schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in key_fields], f"`{name}` {result_type}"])
-    return df.mapInPandas(fold, partial).groupBy(*keys).applyInPandas(combine, out_schema)
+        return group.head(1).assign(state=[pickle.dumps(merged(group))])
+
+    def finish(group: pd.DataFrame) -> pd.DataFrame:
+        return group[keys].head(1).assign(**{name: [result(merged(group))]})
+
+    folded = df.mapInPandas(fold, partial)
+    # Two steps, so that the many partial states of a hot key do not meet in one task.
+    combined = folded.groupBy(*keys, "part").applyInPandas(combine, partial)
+    return combined.groupBy(*keys).applyInPandas(finish, final)

@@ -48,6 +48,10 @@ COLD = -1
 _SLOT, _SEED, _HASH, _POSITION = "__slot", "__seed", "__hash", "__position"
 
 
+def _last_known(name: str) -> Column:
+    return F.last(name, ignorenulls=True)
+
+
 @dataclass(frozen=True)
 class Measure:
     """A running aggregate: the value a row adds and how values combine."""
@@ -57,11 +61,14 @@ class Measure:
 
     def combine(self, name: str, over: WindowSpec | None = None) -> Column:
         """Combine the values in column ``name``, of a group or of a window frame."""
-        aggregate = {"count": F.sum, "sum": F.sum, "max": F.max, "list": F.collect_list}[self.kind](name)
+        aggregates = {"count": F.sum, "sum": F.sum, "max": F.max, "list": F.collect_list, "latest": _last_known}
+        aggregate = aggregates[self.kind](name)
         combined = aggregate if over is None else aggregate.over(over)
         return F.flatten(combined) if self.kind == "list" else combined
 
     def slot_total(self, name: str, order: Sequence[str]) -> Column:
+        if self.kind == "latest":
+            return F.max_by(name, F.when(F.col(name).isNotNull(), F.col(order[0])))
         if self.kind != "list":
             return self.combine(name)
         ordered = F.sort_array(F.collect_list(F.struct(*order, F.col(name).alias("items"))))
@@ -85,6 +92,11 @@ def highest(value: Column) -> Measure:
     return Measure("max", value)
 
 
+def latest(value: Column) -> Measure:
+    """Last value that is not null; such values must differ in the first order column."""
+    return Measure("latest", value)
+
+
 def collected(value: Column) -> Measure:
     """All values so far, in order. Every output row holds its whole list."""
     return Measure("list", F.array(value))

@@ -19,17 +19,24 @@ def read_options(servers: str, topics: str, group: str | None = None, starting:
     return options
 
 
-def read_strings(
-    spark: SparkSession, servers: str, topics: str, group: str | None = None, max_offsets: int | None = None
+def _messages(
+    spark: SparkSession, servers: str, topics: str, group: str | None, max_offsets: int | None
 ) -> DataFrame:
-    """Message payloads of a topic as text; ``max_offsets`` bounds a micro-batch."""
     reader = spark.readStream.format("kafka").options(**read_options(servers, topics, group))
     if max_offsets:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets)
-    return reader.load().select(F.col("value").cast("string").alias("value"))
+    return reader.load().select("value")
 
 
-def read_people(spark: SparkSession, servers: str, topics: str, group: str | None = None) -> DataFrame:
+def read_strings(
+    spark: SparkSession, servers: str, topics: str, group: str | None = None, max_offsets: int | None = None
+) -> DataFrame:
+    """Message payloads of a topic as text; ``max_offsets`` bounds a micro-batch."""
+    return _messages(spark, servers, topics, group, max_offsets).select(F.col("value").cast("string").alias("value"))
+
+
+def read_people(
+    spark: SparkSession, servers: str, topics: str, group: str | None = None, max_offsets: int | None = None
+) -> DataFrame:
     """Topic of ``"name, age"`` messages as (name, age)."""
-    raw = spark.readStream.format("kafka").options(**read_options(servers, topics, group)).load()
-    return decode_person(raw.select("value")).select("name", "age")
+    return decode_person(_messages(spark, servers, topics, group, max_offsets)).select("name", "age")
