@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.functions.times import interval, interval_micros
+from freshet.functions.times import interval_micros
 from freshet.plans.ordering import COLD, collected, count_if, plan_slots, running, total
 
 
@@ -152,8 +152,3 @@ def recent_history(
         F.filter(entries, lambda entry: moment(entry) <= this)
     )
     return listed.withColumn(name, kept["item"]).select(*df.columns, name)
-
-
-def value_at_expiry(ts: str, ttl: str) -> Column:
-    """When a value written at ``ts`` expires."""
-    return F.col(ts) + interval(ttl)

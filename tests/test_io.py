@@ -17,7 +17,7 @@ LINES = [
     "It has survived not only five centuries,",
     "remaining essentially unchanged.",
 ]
-PEOPLE = [("Camilo", 29), ("Yen", 25), ("Gus", 30), ("Alice", 29), ("Charli", 43)]
+PEOPLE = [("Dan", 33), ("Alice", 3), ("Bob", 23), ("Mary", 43), ("Bob", 23)]
 
 
 def people(spark):
@@ -32,7 +32,7 @@ def test_sequence_has_both_ends(spark):
 def test_person_round_trip(spark):
     messages = codecs.encode_person(people(spark)).select("value")
     assert dict(messages.dtypes) == {"value": "binary"}
-    assert bytes(messages.first()["value"]) == b"Camilo, 29"
+    assert bytes(messages.first()["value"]) == b"Dan, 33"
     back = codecs.decode_person(messages).select("name", "age")
     assert sorted(map(tuple, back.collect())) == sorted(PEOPLE)
 
