@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from freshet.llm.base import table
 from freshet.llm.exact_dedup import exact_duplicates
+from freshet.llm.simhash import near_duplicates
 
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,5 +19,9 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-QUERIES = {"op3_exact_dedup": op3_exact_dedup}
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+QUERIES = {"op3_exact_dedup": op3_exact_dedup, "op10_simhash": op10_simhash}
 SQL = {"op3_exact_dedup": OP3_SQL}
