@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from freshet.llm.base import table
 from freshet.llm.exact_dedup import exact_duplicates
+from freshet.llm.mixing import mix
 from freshet.llm.simhash import near_duplicates
 
 
@@ -23,5 +24,9 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
-QUERIES = {"op3_exact_dedup": op3_exact_dedup, "op10_simhash": op10_simhash}
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+QUERIES = {"op3_exact_dedup": op3_exact_dedup, "op4_mixing": op4_mixing, "op10_simhash": op10_simhash}
 SQL = {"op3_exact_dedup": OP3_SQL}
