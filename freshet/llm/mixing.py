@@ -40,11 +40,10 @@ def numbered_sources(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> Da
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("documents"))
     ranged = totals.repartitionByRange(F.col("source").isNull(), "source")
     ranged = saved(ranged.withColumn("part", F.spark_partition_id()), "source-ranges")
-    before = ranged.groupBy("part").agg(F.count("*").alias("n"))
-    earlier = before.select(F.col("part").alias("p"), F.col("n").alias("m"))
-    offsets = before.join(earlier, F.col("p") < F.col("part"), "left").groupBy("part").agg(
-        F.coalesce(F.sum("m"), F.lit(0)).alias("offset")
-    )
+    # One row per partition: few enough for one task.
+    up_to = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("part").agg(F.count("*").alias("n"))
+    offsets = offsets.select("part", F.coalesce(F.sum("n").over(up_to), F.lit(0)).alias("offset"))
     within = Window.partitionBy("part").orderBy(F.col("source").isNull(), "source")
     ranked = ranged.join(offsets, "part").withColumn("rank", F.col("offset") + F.row_number().over(within) - 1)
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))

@@ -3,11 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from freshet.llm.base import table
 from freshet.llm.exact_dedup import exact_duplicates
 from freshet.llm.mixing import mix
+from freshet.llm.pieces import decode, encode, load_pieces
 from freshet.llm.simhash import near_duplicates
+from freshet.llm.toxicity import toxicity
+
+#: The model that the registered queries encode with.
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, ids, n_ids, and whether decoding gives the text again (blanks stand for the mark U+2581)."""
+    pieces = load_pieces(PIECES)
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    found = decode(encode(docs, pieces), pieces)
+    same = F.col("decoded") == F.replace(F.col("text"), F.lit("\u2581"), F.lit(" "))
+    return found.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), same.alias("exact"))
 
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,5 +43,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-QUERIES = {"op3_exact_dedup": op3_exact_dedup, "op4_mixing": op4_mixing, "op10_simhash": op10_simhash}
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    found = toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op5_toxicity": op5_toxicity, "op3_exact_dedup": op3_exact_dedup, "op4_mixing": op4_mixing, "op10_simhash": op10_simhash}
 SQL = {"op3_exact_dedup": OP3_SQL}
