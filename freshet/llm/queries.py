@@ -9,6 +9,7 @@ from freshet.llm.base import table
 from freshet.llm.exact_dedup import exact_duplicates
 from freshet.llm.mixing import mix
 from freshet.llm.pieces import decode, encode, load_pieces
+from freshet.llm.quality import BASE, quality
 from freshet.llm.simhash import near_duplicates
 from freshet.llm.toxicity import toxicity
 
@@ -43,10 +44,15 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", *BASE, "base_failed", "kept", "rule")
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     found = toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op5_toxicity": op5_toxicity, "op3_exact_dedup": op3_exact_dedup, "op4_mixing": op4_mixing, "op10_simhash": op10_simhash}
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_quality_rules": op2_quality_rules, "op5_toxicity": op5_toxicity, "op3_exact_dedup": op3_exact_dedup, "op4_mixing": op4_mixing, "op10_simhash": op10_simhash}
 SQL = {"op3_exact_dedup": OP3_SQL}
