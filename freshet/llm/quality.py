@@ -65,7 +65,8 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = rows.withColumn("__sorted", F.when(repeats, F.sort_array(placed)))
     s = F.col("__sorted")
     twice = F.filter(s, lambda x, i: (x.h == F.get(s, i - 1).h) | (x.h == F.get(s, i + 1).h))
-    rows = rows.withColumn("__at", F.sort_array(F.transform(twice, lambda x: x.i)))
+    # Generated, not projected: a filter on the result must not be pushed into the lambda below.
+    rows = rows.withColumn("__at", F.explode(F.array(F.sort_array(F.transform(twice, lambda x: x.i)))))
     at = F.col("__at")
     # A place adds up to three words, fewer where the next place comes sooner.
     added = F.transform(at, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(at, i + 1) - x, F.lit(3))))
