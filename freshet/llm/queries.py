@@ -10,6 +10,7 @@ from freshet.llm.exact_dedup import exact_duplicates
 from freshet.llm.mixing import mix
 from freshet.llm.pieces import decode, encode, load_pieces
 from freshet.llm.quality import BASE, quality
+from freshet.llm.secret_scan import secret_digest, secrets
 from freshet.llm.simhash import near_duplicates
 from freshet.llm.toxicity import toxicity
 
@@ -54,5 +55,9 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op2_quality_rules": op2_quality_rules, "op5_toxicity": op5_toxicity, "op3_exact_dedup": op3_exact_dedup, "op4_mixing": op4_mixing, "op10_simhash": op10_simhash}
+def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_digest(secrets(table(spark, folder, "documents")))
+
+
+QUERIES = {"op6_secrets": op6_secrets, "op1_sentencepiece": op1_sentencepiece, "op2_quality_rules": op2_quality_rules, "op5_toxicity": op5_toxicity, "op3_exact_dedup": op3_exact_dedup, "op4_mixing": op4_mixing, "op10_simhash": op10_simhash}
 SQL = {"op3_exact_dedup": OP3_SQL}
