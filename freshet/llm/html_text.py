@@ -224,7 +224,7 @@ def templates(pages: DataFrame) -> DataFrame:
     def hash_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [(h, x) for h, page in zip(batch["host"], batch["html"]) for x in page_hashes(page)]
-            yield pd.DataFrame(found, columns=["host", "hash"])
+            yield pd.DataFrame(found, columns=["host", "hash"]).astype({"host": object})
 
     rows = pages.select(host(F.col("url")).alias("host"), "html")
     seen = rows.mapInPandas(hash_all, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("pages"))
@@ -245,7 +245,7 @@ def extract(pages: DataFrame) -> DataFrame:
     def needs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = [(k, h, x) for k, h, page in zip(batch["key"], batch["host"], batch["html"]) for x in page_hashes(page)]
-            yield pd.DataFrame(out, columns=["key", "host", "hash"])
+            yield pd.DataFrame(out, columns=["key", "host", "hash"]).astype({"host": object})
 
     key = F.xxhash64("page_id", "url", "html").alias("key")
     own = rows.select(key, "host", "html").mapInPandas(needs, "key long, host string, hash long")
@@ -256,7 +256,7 @@ def extract(pages: DataFrame) -> DataFrame:
     def text_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [main_text(page, set() if t is None else set(map(int, t))) for page, t in zip(batch["html"], batch["template"])]
-            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts})
+            yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": pd.Series(texts, dtype=object)})
 
     extracted = joined.select("page_id", "url", "html", "template").mapInPandas(text_of, "page_id long, url string, text string")
     return extracted.withColumn("n_chars", F.length("text").cast("long"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from freshet.llm.base import table
 from freshet.llm.exact_dedup import exact_duplicates
 from freshet.llm.html_text import extract
+from freshet.llm.lm import score_documents
 from freshet.llm.mixing import mix
 from freshet.llm.pieces import decode, encode, load_pieces
 from freshet.llm.pii import personal_data, pii_digest
@@ -69,5 +70,9 @@ def op8_html(spark: SparkSession, folder: str) -> DataFrame:
     return extract(table(spark, folder, "pages"))
 
 
-QUERIES = {"op8_html": op8_html, "op7_pii": op7_pii, "op6_secrets": op6_secrets, "op1_sentencepiece": op1_sentencepiece, "op2_quality_rules": op2_quality_rules, "op5_toxicity": op5_toxicity, "op3_exact_dedup": op3_exact_dedup, "op4_mixing": op4_mixing, "op10_simhash": op10_simhash}
+def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(table(spark, folder, "documents"))
+
+
+QUERIES = {"op9_lm_scores": op9_lm_scores, "op8_html": op8_html, "op7_pii": op7_pii, "op6_secrets": op6_secrets, "op1_sentencepiece": op1_sentencepiece, "op2_quality_rules": op2_quality_rules, "op5_toxicity": op5_toxicity, "op3_exact_dedup": op3_exact_dedup, "op4_mixing": op4_mixing, "op10_simhash": op10_simhash}
 SQL = {"op3_exact_dedup": OP3_SQL}
