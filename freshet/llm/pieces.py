@@ -104,6 +104,22 @@ class Pieces:
                 self.reached[i] = True
                 self.left[i], self.right[i] = last
             self.rank[i] = by_score[self.scores[i]]
+        # When a piece is there at the earliest: a piece may rank before its own parts.
+        self.time = self.rank.copy()
+        for i in sorted(usable, key=lambda i: self.lengths[i]):
+            if self.left[i] != NONE:
+                self.time[i] = max(self.rank[i], self.time[self.left[i]], self.time[self.right[i]])
+        self.known, self.pieces, self.settled = known, pieces, {}
+
+    def _merge_two(self, left: int, right: int) -> bool:
+        """The test of ``neighbours`` by merging."""
+        found = self.settled.get((left, right))
+        if found is None:
+            if len(self.settled) >= REMEMBERED:
+                self.settled.clear()
+            a, b = self.pieces[left], self.pieces[right]
+            found = self.settled[left, right] = merged([*a, *b], self.known, self.scores)[0] == [a, b]
+        return found
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Piece ids of substring hashes, ``NONE`` where there is none."""
@@ -116,8 +132,13 @@ class Pieces:
         return found
 
     def neighbours(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Whether merging the two pieces' characters gives just these two pieces."""
+        """Whether merging the two pieces' characters gives just these two pieces.
+
+        Where a piece that ranks before its parts is met, ranks do not tell the order of
+        the merges; such pairs are merged for real, and remembered.
+        """
         good = np.ones(len(left), dtype=bool)
+        doubt = np.zeros(len(left), dtype=bool)
         at = np.flatnonzero((left >= 0) & (right >= 0) & (left < self.size) & (right < self.size))
         l, r = left[at], right[at]
         limit = np.full(len(at), FAR)
@@ -127,6 +148,8 @@ class Pieces:
             whole = self.find(both)
             # A hash says nothing about pieces that are too long to be one.
             whole = np.where(self.lengths[l] + self.lengths[r] <= self.longest, whole, NONE)
+            late = np.maximum(self.time[l], self.time[r])
+            doubt[at] |= (self.time[l] != self.rank[l]) | (self.time[r] != self.rank[r]) | ((whole != NONE) & (self.rank[whole] < late))
             crossed = (whole != NONE) & (self.rank[whole] < limit)
             good[at[crossed]] = False
             # Undo the later of the two last merges. Of equal ones the right came later.
@@ -137,6 +160,8 @@ class Pieces:
             # Merges of equal rank run from left to right: across the seam comes before the right part's.
             limit = np.where(left_later, self.rank[l], self.rank[r] + 1)
             l, r = np.where(left_later, self.right[l], l), np.where(left_later, r, self.left[r])
+        for i in np.flatnonzero(doubt):
+            good[i] = self._merge_two(int(left[i]), int(right[i]))
         return good
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
