@@ -80,7 +80,7 @@ def changing_threshold_stream(spark: SparkSession, folder: str) -> DataFrame:
     signups = src.of_type(src.events(spark, folder), "signup")
     control = signups.select("ts", F.col("event_id").alias("seq"), src.quantity().alias("threshold"))
     added = _added(spark, folder).select("event_id", "ts", "quantity")
-    return joins.changing_threshold(added, control, control_order=["seq"], limit=1_000)
+    return joins.changing_threshold(added, control, control_order=["seq"])
 
 
 def side_main(spark: SparkSession, folder: str) -> DataFrame:

@@ -58,7 +58,7 @@ def state_ttl(spark: SparkSession, folder: str) -> DataFrame:
 
 def state_map(spark: SparkSession, folder: str) -> DataFrame:
     df = src.events(spark, folder).select("event_id", "ts", "user_id", "event_type")
-    counted = state.count_map(df, USER, ORDER, "event_type", EVENT_TYPES)
+    counted = state.count_map(df, USER, ORDER, "event_type")
     return counted.select("event_id", "user_id", state.count_map_text().alias("counts"))
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freshet.functions.columns import fizzbuzz
+from freshet.functions.columns import fizzbuzz, share_percent
 from freshet.functions.times import utc_wall_clock
 from freshet.operators import joins, routing
 from freshet.operators import windows as win
@@ -18,7 +18,7 @@ from freshet.operators.state import count_map_text
 from freshet.plans.scratch import fresh_folder
 from freshet.sinks import files
 from freshet.sources import events as src
-from freshet.streaming import state
+from freshet.streaming import batches, state
 from freshet.streaming import windows as stream_win
 from freshet.streaming.run import drained_table
 
@@ -168,7 +168,68 @@ def sink_stream_text(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.text(f"{path}/data")
 
 
+def _batched(spark: SparkSession, df: DataFrame, label: str, make) -> DataFrame:
+    """Drain a stream through a ``foreachBatch`` function that ``make`` builds for a folder."""
+    path = fresh_folder(spark, label)
+    writer = df.writeStream.foreachBatch(make(path)).option("checkpointLocation", f"{path}/checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{path}/rows").drop("batch_id")
+
+
+def stream_connect_ratio(spark: SparkSession, folder: str) -> DataFrame:
+    """The share of each stream in all events so far, carried from micro-batch to micro-batch."""
+    both = src.of_type(_stream(spark, folder), "purchase", "view").select("event_id", "ts", "event_type")
+    is_cart = F.col("event_type") == "purchase"
+
+    def percent(rows: DataFrame) -> DataFrame:
+        own, other = (F.when(is_cart, F.col(a)).otherwise(F.col(b)) for a, b in (("cart", "catalog"), ("catalog", "cart")))
+        name = F.when(is_cart, "cart").otherwise("catalog").alias("stream")
+        return rows.select("event_id", name, share_percent(own, other).alias("percent"))
+
+    counts = {"cart": is_cart, "catalog": ~is_cart}
+    return _batched(spark, both, "connect-ratio", lambda path: batches.running_counts(path, [], ORDER, counts, percent))
+
+
+def stream_global_count_trigger(spark: SparkSession, folder: str) -> DataFrame:
+    """One global window that fires after every tenth event, with the signups so far."""
+    events = _stream(spark, folder).select("event_id", "ts", "event_type")
+
+    def fired(rows: DataFrame) -> DataFrame:
+        shown = rows.where(F.col("n") % 10 == 0)
+        return shown.select((F.col("n") / 10).cast("bigint").alias("firing"), "n", "signups")
+
+    counts = {"n": F.lit(True), "signups": _is_signup()}
+    return _batched(spark, events, "global-trigger", lambda path: batches.running_counts(path, [], ORDER, counts, fired))
+
+
+def stream_count_below_threshold(spark: SparkSession, folder: str) -> DataFrame:
+    cart = src.cart_events(_stream(spark, folder)).where("event_type = 'added' and quantity < 5")
+    few = cart.select("event_id", "ts", "user_id")
+
+    def shown(rows: DataFrame) -> DataFrame:
+        return rows.select("event_id", "user_id", "n")
+
+    counts = {"n": F.lit(True)}
+    return _batched(spark, few, "below-threshold", lambda path: batches.running_counts(path, USER, ORDER, counts, shown))
+
+
+def stream_changing_threshold(spark: SparkSession, folder: str) -> DataFrame:
+    """Purchases above the threshold that signups set, pinned per micro-batch."""
+    added = src.cart_events(_stream(spark, folder)).where("event_type = 'added'")
+    added = added.select("event_id", utc_wall_clock(F.col("ts")).alias("ts"), "quantity")
+
+    def control() -> DataFrame:
+        signups = src.of_type(src.events(spark, folder), "signup")
+        return signups.select("ts", F.col("event_id").alias("seq"), src.quantity().alias("threshold"))
+
+    return _batched(spark, added, "threshold", lambda path: batches.thresholds_now(path, control, control_order=["seq"]))
+
+
 QUERIES = {
+    "stream_connect_ratio": stream_connect_ratio,
+    "stream_global_count_trigger": stream_global_count_trigger,
+    "stream_count_below_threshold": stream_count_below_threshold,
+    "stream_changing_threshold": stream_changing_threshold,
     "stream_tumble_count": stream_tumble_count,
     "stream_tumble_by_type": stream_tumble_by_type,
     "stream_slide_count": stream_slide_count,
@@ -221,6 +282,14 @@ def _sql() -> dict[str, str]:
         "stream_state_map": batch_state.SQL["state_map"],
         "stream_count_trigger": batch_win.SQL["count_trigger"],
         "stream_purging_trigger": batch_win.SQL["purging_trigger"],
+        "stream_connect_ratio": multi.SQL["connect_ratio"],
+        "stream_global_count_trigger": """
+            SELECT n // 10 AS firing, n, signups FROM (
+                SELECT row_number() OVER w AS n, count(*) FILTER (event_type = 'signup') OVER w AS signups
+                FROM events WINDOW w AS (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
+            WHERE n % 10 = 0""",
+        "stream_count_below_threshold": batch_state.SQL["count_below_threshold"],
+        "stream_changing_threshold": multi.SQL["changing_threshold_stream"],
         "sink_stream_text": "SELECT CAST(event_id AS VARCHAR) AS value FROM events WHERE event_id % 15 = 0",
     }
 

@@ -140,8 +140,12 @@ def latest_control(
     ``control`` has ``ts``, ``value`` and columns that order changes made at
     one time, the last of which counts (``control_order``); a null value changes
     nothing. Up to ``limit`` changes are looked up in a literal list; a larger
-    control stream is united with the rows and carried forward, whatever its size.
+    control stream is united with the rows and carried forward, whatever its size. Both
+    ways give the same columns: the control's value in its own type, in place of any column
+    of that name, last.
     """
+    kind = control.schema[value].dataType
+    df = df.drop(value)
     known = control.where(F.col(value).isNotNull() & F.col(ts).isNotNull()).groupBy(ts)
     if not control_order:
         last = F.max(value)
@@ -153,7 +157,6 @@ def latest_control(
 
     found = changes.select(micros(changes, ts).alias("us"), F.col(value).alias("value")).collect()
     found.sort(key=lambda row: row["us"])
-    kind = control.schema[value].dataType
     values = F.array(default.cast(kind), *[F.lit(row["value"]).cast(kind) for row in found])
     if not found:
         return df.withColumn(value, default.cast(kind))
@@ -172,7 +175,7 @@ def _carry_control(
     marks = changes.select(ts, F.col(value).alias("__change"), F.lit(0).alias("__rank"))
     both = rows.unionByName(marks, allowMissingColumns=True)
     carried = running(both, [], [ts, "__rank", row_id], {"__latest": latest(F.col("__change"))}, slot_rows=slot_rows)
-    current = F.coalesce(F.col("__latest"), default)
+    current = F.coalesce(F.col("__latest"), default).cast(changes.schema[value].dataType)
     return carried.where(F.col("__rank") == 1).select(*df.columns, current.alias(value))
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
@@ -22,6 +23,8 @@ from freshet.plans.ordering import count_if as running_count
 from freshet.plans.ordering import highest, running
 from freshet.plans.scratch import materialize
 
+_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
 MERGE_PARTS = 256
 """Groups in which the partial states of one key are merged first."""
 
@@ -46,20 +49,45 @@ def tumbling(
     return grouped.select(*keys, *_bounds(grouped), *aggs)
 
 
+@dataclass(frozen=True)
+class Merged:
+    """An aggregate whose partial results the same or another aggregate merges: ``Merged(F.max("v"), F.max)``."""
+
+    of_rows: Column
+    of_parts: Callable[[str], Column]
+
+
+def sum_of(value: str | Column) -> Merged:
+    return Merged(F.sum(value), F.sum)
+
+
+def min_of(value: str | Column) -> Merged:
+    return Merged(F.min(value), F.min)
+
+
+def max_of(value: str | Column) -> Merged:
+    return Merged(F.max(value), F.max)
+
+
+def merged(measure: Column | Merged | None) -> Merged:
+    return measure if isinstance(measure, Merged) else Merged(count(measure), F.sum)
+
+
 def sliding(
     df: DataFrame,
     ts: str,
     size: str,
     slide: str,
-    counts: Mapping[str, Column | None],
+    counts: Mapping[str, Column | Merged | None],
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Row counts (each with an optional condition) per overlapping window.
+    """Row counts (each with an optional condition) and other mergeable aggregates per overlapping window.
 
     A batch is first counted per pane of one slide and the few panes are then
     expanded to their windows, instead of copying every row to every window.
     """
-    aggs = {name: count(condition) for name, condition in counts.items()}
+    measures = {name: merged(measure) for name, measure in counts.items()}
+    aggs = {name: measure.of_rows for name, measure in measures.items()}
     whole = interval_micros(df, size) % interval_micros(df, slide) == 0
     if df.isStreaming or not whole:
         grouped = df.groupBy(*keys, F.window(ts, size, slide)).agg(*[c.alias(n) for n, c in aggs.items()])
@@ -71,24 +99,25 @@ def sliding(
     start = F.col("window_start") - interval(slide) * F.col("back")
     return (
         placed.groupBy(*keys, start.alias("window_start"))
-        .agg(*[F.sum(name).alias(name) for name in aggs])
+        .agg(*[measure.of_parts(name).alias(name) for name, measure in measures.items()])
         .select(*keys, "window_start", (F.col("window_start") + interval(size)).alias("window_end"), *aggs)
     )
 
 
 def sessions(
-    df: DataFrame, ts: str, gap: str, counts: Mapping[str, Column | None], keys: Sequence[str] = ()
+    df: DataFrame, ts: str, gap: str, counts: Mapping[str, Column | Merged | None], keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Row counts per session: a run of events no more than ``gap`` apart.
+    """Row counts and other mergeable aggregates per session: a run of events no more than ``gap`` apart.
 
     Rows within one cell of length ``gap`` always share a session, so rows are
     first combined to cells map-side; only cells are then put in order. A key,
     however hot, has at most (time span / gap) cells.
     """
+    measures = {name: merged(measure) for name, measure in counts.items()}
     cells = df.groupBy(*keys, F.window(ts, gap).alias("cell")).agg(
         F.min(ts).alias("first_ts"),
         F.max(ts).alias("last_ts"),
-        *[count(condition).alias(name) for name, condition in counts.items()],
+        *[measure.of_rows.alias(name) for name, measure in measures.items()],
     )
     cells = cells.where(F.col("cell").isNotNull()).drop("cell")
     span = df.agg(F.min(ts).alias("low"), F.max(ts).alias("high")).select(
@@ -109,7 +138,7 @@ def sessions(
         marked = running(marked, keys, ["first_ts"], {"session_start": highest(start)})
     return (
         marked.groupBy(*keys, "session_start")
-        .agg((F.max("last_ts") + interval(gap)).alias("session_end"), *[F.sum(n).alias(n) for n in counts])
+        .agg((F.max("last_ts") + interval(gap)).alias("session_end"), *[m.of_parts(n).alias(n) for n, m in measures.items()])
         .select(*keys, "session_start", "session_end", *counts)
     )
 
@@ -189,36 +218,41 @@ def accumulate(
     accumulators per task, never its rows.
     """
     keys = list(keys)
-    key_fields = [df.schema[k] for k in keys]
-    partial = T.StructType([*key_fields, T.StructField("part", T.LongType()), T.StructField("state", T.BinaryType())])
-    final = T.StructType([*key_fields, *T.StructType.fromDDL(f"`{name}` {result_type}")])
+    # Keys travel as text made by Spark and are read back from it: pandas would turn integers
+    # beside a null into floats.
+    key_type = T.StructType([df.schema[k] for k in keys])
+    written = F.to_json(F.struct(*keys), {"ignoreNullFields": "false", "timestampFormat": _MICROS, "timestampNTZFormat": _MICROS[:-3]})
+    partial = T.StructType.fromDDL("__key string, part long, state binary")
+    final = T.StructType([T.StructField("__key", T.StringType()), *T.StructType.fromDDL(f"`{name}` {result_type}")])
 
     def flush(states: dict) -> pd.DataFrame:
         part = TaskContext.get().partitionId() % MERGE_PARTS
-        rows = [(*key, part, pickle.dumps(state)) for key, state in states.items()]
-        return pd.DataFrame(rows, columns=[*keys, "part", "state"])
+        rows = [(key, part, pickle.dumps(state)) for key, state in states.items()]
+        return pd.DataFrame(rows, columns=["__key", "part", "state"])
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         states: dict = {}
         for batch in batches:
-            for key, rows in batch.groupby(keys, dropna=False, sort=False):
-                states[key] = add(states.get(key), rows)
+            for key, rows in batch.groupby("__key", sort=False):
+                states[key] = add(states.get(key), rows.drop(columns="__key"))
             if len(states) > open_keys:
                 yield flush(states)
                 states = {}
         if states:
             yield flush(states)
 
-    def merged(group: pd.DataFrame) -> Any:
+    def whole(group: pd.DataFrame) -> Any:
         return reduce(merge, map(pickle.loads, group["state"]))
 
     def combine(group: pd.DataFrame) -> pd.DataFrame:
-        return group.head(1).assign(state=[pickle.dumps(merged(group))])
+        return group.head(1).assign(state=[pickle.dumps(whole(group))])
 
     def finish(group: pd.DataFrame) -> pd.DataFrame:
-        return group[keys].head(1).assign(**{name: [result(merged(group))]})
+        return group[["__key"]].head(1).assign(**{name: [result(whole(group))]})
 
-    folded = df.mapInPandas(fold, partial)
+    folded = df.withColumn("__key", written).mapInPandas(fold, partial)
     # Two steps, so that the many partial states of a hot key do not meet in one task.
-    combined = folded.groupBy(*keys, "part").applyInPandas(combine, partial)
-    return combined.groupBy(*keys).applyInPandas(finish, final)
+    combined = folded.groupBy("__key", "part").applyInPandas(combine, partial)
+    finished = combined.groupBy("__key").applyInPandas(finish, final)
+    read = F.from_json("__key", key_type, {"timestampFormat": _MICROS, "timestampNTZFormat": _MICROS[:-3]})
+    return finished.select(read.alias("__key"), name).select(*[F.col("__key")[k].alias(k) for k in keys], name)

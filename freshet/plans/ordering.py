@@ -12,7 +12,10 @@ are cut along the order into *slots* instead:
    seed first.
 
 The bounds end up as literals in the plan, so a lost executor recomputes the
-same slots. Sampling decides only the balance; results are always exact.
+same slots. Sampling decides only the balance. Types are those of the plain
+window on either path, and so are counts, maxima, lists and sums of integers and
+decimals. A sum of DOUBLE or FLOAT values adds up slot by slot and may differ from the plain
+window's in the last bits (relative 1e-12 in the tests), as the sum of a group does.
 """
 
 from __future__ import annotations
@@ -78,6 +81,14 @@ class Measure:
         return F.coalesce(column, F.lit(0)).cast("bigint") if self.kind == "count" else column
 
 
+def _one_row(measure: Measure) -> Column:
+    """The measure over one row: only its type is looked at."""
+    over = Window.partitionBy(F.lit(0)).orderBy(F.lit(0))
+    if measure.kind == "sum":
+        return F.sum(measure.value).over(over)
+    return measure.finish(measure.value)
+
+
 def count_if(condition: Column | None = None) -> Measure:
     """Number of rows so far, or of rows that satisfy a condition."""
     one = F.lit(1) if condition is None else F.when(condition, 1).otherwise(0)
@@ -242,6 +253,8 @@ def running(
     """
     slots = plan_slots(df, keys, order, slot_rows)
     inputs = {name: f"__in_{name}" for name in measures}
+    # Sums of partial sums would widen decimals: the type is that of one sum over the values.
+    plain = df.select(*[_one_row(m).alias(n) for n, m in measures.items()]).schema
     rows = df.select("*", *[m.value.alias(inputs[name]) for name, m in measures.items()])
 
     if slots is None:
@@ -264,7 +277,11 @@ def running(
 
     frame = frame.rowsBetween(Window.unboundedPreceding, 0 if include_current else -1)
     result = rows.select(
-        "*", *[m.finish(m.combine(inputs[name], frame)).alias(name) for name, m in measures.items()]
+        "*",
+        *[
+            m.finish(m.combine(inputs[name], frame)).cast(plain[name].dataType).alias(name)
+            for name, m in measures.items()
+        ],
     )
     if slots is not None:
         result = result.where(F.col(_SEED) == 1)

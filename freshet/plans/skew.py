@@ -11,16 +11,17 @@ from pyspark.sql import functions as F
 from freshet.plans.ordering import SAMPLE_ROWS_PER_SLOT, slot_count
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str], rows: int, shares: int) -> list[int]:
-    """Hashes of the keys that hold more than ``1/shares`` of the rows (sampled)."""
+def hot_hashes(df: DataFrame, keys: Sequence[str], rows: int, shares: int) -> dict[int, int]:
+    """Hashes of the keys that hold more than ``1/shares`` of the rows (sampled), with the even shares each fills."""
     if rows == 0 or shares < 2:
-        return []
+        return {}
     sample = df.select(F.xxhash64(*keys).alias("h"))
     fraction = min(1.0, SAMPLE_ROWS_PER_SLOT * shares / rows)
     if fraction < 1:
         sample = sample.sample(fraction=fraction, seed=17)
     heavy = sample.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    return sorted(row["h"] for row in heavy.where(F.col("n") > fraction * rows / shares).collect())
+    share = fraction * rows / shares
+    return {row["h"]: math.ceil(row["n"] / share) for row in heavy.where(F.col("n") > share).orderBy("h").collect()}
 
 
 def spread_join(
@@ -34,21 +35,27 @@ def spread_join(
     """Inner join on ``keys``; each pair comes out once however hot its key is.
 
     Rows of a key that is hot on one side get a salt from their id, and the
-    other side's rows of that key are copied to every salt. Keys that are hot on
+    other side's rows of that key are copied to every salt; a key gets as many salts as
+    it fills even shares. Keys that are hot on
     no side keep the single salt 0. Columns other than ``keys`` must differ.
     """
-    hot, parts = {}, {}
+    hot = {}
     for side, df in (("left", left), ("right", right)):
         rows = df.count()
         shares = slot_count(df, rows, slot_rows)
         hot[side] = hot_hashes(df, keys, rows, shares)
-        parts[side] = max(2, math.ceil(math.sqrt(shares)))
     if not hot["left"] and not hot["right"]:
         return left.join(right, list(keys))
 
     def salts(side: str) -> Column:
-        is_hot = F.xxhash64(*keys).isin(hot[side])
-        return F.when(is_hot, F.lit(parts[side])).otherwise(F.lit(1)) if hot[side] else F.lit(1)
+        # As many salts as even shares; keys with equally many share one branch.
+        by_parts: dict[int, list[int]] = {}
+        for value, parts in hot[side].items():
+            by_parts.setdefault(1 << (parts - 1).bit_length(), []).append(value)
+        found = F.lit(1)
+        for parts, values in sorted(by_parts.items()):
+            found = F.when(F.xxhash64(*keys).isin(values), F.lit(parts)).otherwise(found)
+        return found
 
     def own(side: str, row_id: str) -> Column:
         return F.pmod(F.xxhash64(row_id), salts(side)).cast("int")

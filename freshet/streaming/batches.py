@@ -11,12 +11,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freshet.operators.joins import changing_threshold
 from freshet.plans.ordering import running, total
 
+def _complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a write to the folder has been committed."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 Finish = Callable[[DataFrame], DataFrame]
 
 
@@ -37,6 +43,14 @@ def running_counts(
     ones = {name: f"__one_{name}" for name in counts}
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # The batch is read for totals, for slots and for rows: fetch it from the source once.
+        batch = batch.persist()
+        try:
+            run(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def run(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(
             "*",
             *[F.when(c, 1).otherwise(0).cast("bigint").alias(ones[n]) for n, c in counts.items()],
@@ -59,10 +73,17 @@ def running_counts(
 def thresholds_now(
     path: str, control: Callable[[], DataFrame], **options
 ) -> Callable[[DataFrame, int], None]:
-    """Compare each micro-batch with the thresholds known when it runs."""
+    """Compare each micro-batch with the thresholds known when it first runs.
+
+    Writes ``path/rows/batch_id=N`` and the thresholds used, ``path/control/batch_id=N``.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        alerts = changing_threshold(batch, control(), **options)
-        alerts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # What was known at the first attempt counts for every later one.
+        pinned = f"{path}/control/batch_id={batch_id}"
+        if not _complete(batch.sparkSession, pinned):
+            control().write.mode("overwrite").parquet(pinned)
+        alerts = changing_threshold(batch, batch.sparkSession.read.parquet(pinned), **options)
+        alerts.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
 
     return write

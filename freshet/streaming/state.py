@@ -81,42 +81,59 @@ def count_so_far(df: DataFrame, keys: Sequence[str], order: Sequence[str], name:
 def reduce_running(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str = "total"
 ) -> DataFrame:
-    """Sum of an integer column so far, after every row."""
+    """Sum of an integer column so far, after every row; a null adds nothing, and before the
+    first value the sum is null, as in a batch."""
+    number = F.coalesce(F.col(value).cast("bigint"), F.lit(0).cast("bigint"))
+    marked = df.withColumns({"__number": number, "__known": F.col(value).isNotNull()})
 
     def step(state: tuple, rows: pd.DataFrame) -> tuple[pd.DataFrame, tuple]:
-        rows[name] = state[0] + rows[value].cumsum()
-        return rows, (int(rows[name].iloc[-1]),)
+        sums = state[0] + rows["__number"].to_numpy(dtype=np.int64).cumsum()
+        seen = state[1] | np.logical_or.accumulate(rows["__known"].to_numpy(dtype=bool))
+        rows[name] = pd.Series(sums, dtype="Int64").mask(~seen)
+        return rows, (int(sums[-1]), bool(seen[-1]))
 
-    return keyed(df, keys, order, step, (0,), "total bigint", _schema(df, f"{name} bigint"))
+    output = _schema(df, f"{name} bigint")
+    return keyed(marked, keys, order, step, (0, False), "total bigint, seen boolean", output)
 
 
 def count_map(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], category: str, name: str = "counts"
 ) -> DataFrame:
-    """Counts per category so far, as a map, after every row."""
+    """Counts per category so far, as a map, after every row. Null is no category and has no entry."""
 
     def step(state: tuple, rows: pd.DataFrame) -> tuple[pd.DataFrame, tuple]:
-        counts = dict(zip(state[0], state[1]))
-        labels, numbers = [], []
-        for value in rows[category]:
-            counts[value] = counts.get(value, 0) + 1
-            labels.append(list(counts))
-            numbers.append(list(counts.values()))
-        rows["labels"], rows["numbers"] = labels, numbers
-        return rows, (list(counts), list(counts.values()))
+        known = dict(zip(state[0], state[1]))
+        codes, found = pd.factorize(rows[category], use_na_sentinel=True)
+        labels = sorted({*known, *found})
+        place = np.array([labels.index(v) for v in found], dtype=np.int64)
+        # One column per category, running down the rows.
+        counts = np.zeros((len(rows), len(labels)), dtype=np.int64)
+        hit = np.flatnonzero(codes >= 0)
+        counts[hit, place[codes[hit]]] = 1
+        counts = counts.cumsum(axis=0) + np.array([known.get(v, 0) for v in labels], dtype=np.int64)
+        names = np.array(labels, dtype=object)
+        shown = counts > 0
+        rows["labels"] = [names[s].tolist() for s in shown]
+        rows["numbers"] = [c[s] for c, s in zip(counts, shown)]
+        return rows, (labels, counts[-1].tolist())
 
     raw = keyed(
-        df,
+        df.withColumn(category, F.col(category).cast("string")),
         keys,
         order,
         step,
         ([], []),
         "labels array<string>, numbers array<bigint>",
-        _schema(df, "labels array<string>, numbers array<bigint>"),
+        _schema(df.withColumn(category, F.col(category).cast("string")), "labels array<string>, numbers array<bigint>"),
     )
     return raw.select(*df.columns, F.map_from_arrays("labels", "numbers").alias(name))
 
 
+def _texts(df: DataFrame, value: str) -> DataFrame:
+    """The values as text, made by Spark: a null among integers does not turn them into floats."""
+    return df.withColumn("__item", F.col(value).cast("string"))
+
+
 def history(
     df: DataFrame,
     keys: Sequence[str],
@@ -125,22 +142,22 @@ def history(
     chunk: int | None = None,
     name: str = "history",
 ) -> DataFrame:
-    """Values of the key so far as text; with ``chunk`` the list is cleared at that length.
+    """Values of the key so far as text, null for null; with ``chunk`` the list is cleared at that length.
 
     Without ``chunk`` the state grows with the key, so bound it where keys live long.
     """
 
     def step(state: tuple, rows: pd.DataFrame) -> tuple[pd.DataFrame, tuple]:
-        items, lists = list(state[0]), []
-        for item in rows[value].astype(str):
-            items.append(item)
-            lists.append(list(items))
-            if chunk and len(items) >= chunk:
-                items = []
-        rows[name] = lists
-        return rows, (items,)
+        items = [*state[0], *[None if pd.isna(v) else v for v in rows["__item"]]]
+        held = len(state[0])
+        ends = np.arange(held + 1, len(items) + 1)
+        starts = (ends - 1) // chunk * chunk if chunk else np.zeros(len(ends), dtype=np.int64)
+        rows[name] = [items[a:b] for a, b in zip(starts, ends)]
+        keep = len(items) // chunk * chunk if chunk else 0
+        return rows, (items[keep:],)
 
-    return keyed(df, keys, order, step, ([],), "items array<string>", _schema(df, f"{name} array<string>"))
+    output = _schema(df, f"{name} array<string>")
+    return keyed(_texts(df, value), keys, order, step, ([],), "items array<string>", output)
 
 
 def recent_history(
@@ -152,7 +169,7 @@ def recent_history(
     name: str = "history",
     evict: bool = False,
 ) -> DataFrame:
-    """Values of the key no older than the time to live; older ones leave the state.
+    """Values of the key no older than the time to live, null for null; older ones leave the state.
 
     With ``evict`` (on a watermarked stream) a key that stays silent for that
     long is forgotten altogether.
@@ -160,18 +177,18 @@ def recent_history(
     ts, ttl_micros = order[0], interval_micros(df, ttl)
 
     def step(state: tuple, rows: pd.DataFrame) -> tuple[pd.DataFrame, tuple]:
-        times, items, lists = list(state[0]), list(state[1]), []
-        for time, item in zip(rows[ts].astype("datetime64[us]").astype("int64"), rows[value].astype(str)):
-            expired = 0
-            while expired < len(times) and times[expired] < time - ttl_micros:
-                expired += 1
-            times, items = [*times[expired:], int(time)], [*items[expired:], item]
-            lists.append(items)
-        rows[name] = lists
-        return rows, (times, items)
+        now = rows[ts].astype("datetime64[us]").astype("int64").to_numpy()
+        times = np.concatenate([np.array(state[0], dtype=np.int64), now])
+        items = [*state[1], *[None if pd.isna(v) else v for v in rows["__item"]]]
+        ends = np.arange(len(items) - len(rows) + 1, len(items) + 1)
+        # A value that has expired once does not come back, also if a later file is out of order.
+        alive = np.maximum.accumulate(now) - ttl_micros
+        starts = np.minimum(np.searchsorted(times, alive, side="left"), ends - 1)
+        rows[name] = [items[a:b] for a, b in zip(starts, ends)]
+        return rows, (times[starts[-1] :].tolist(), items[starts[-1] :])
 
     return keyed(
-        df,
+        _texts(df, value),
         keys,
         order,
         step,

@@ -7,26 +7,23 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freshet.operators.windows import count
-
-LOCAL_MERGE = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+from freshet.operators.windows import Merged, merged
 
 
 def sessions(
-    df: DataFrame, ts: str, gap: str, counts: Mapping[str, Column | None], keys: Sequence[str] = ()
+    df: DataFrame, ts: str, gap: str, counts: Mapping[str, Column | Merged | None], keys: Sequence[str] = ()
 ) -> DataFrame:
     """Sessions per key of a watermarked stream, emitted when closed.
 
-    Without keys a stream has one session sequence and so one reducer. The
-    tasks then merge their own rows to sessions first, so that the reducer sees
-    sessions only.
+    Without keys a stream has one session sequence and so one reducer. Sessions
+    made by ``build_session`` let the tasks merge their own rows first
+    (``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``), so that the
+    reducer sees sessions only; set it in a session of your own.
     """
-    if not keys:
-        df.sparkSession.conf.set(LOCAL_MERGE, "true")
     # Spark asks for a grouping column beside the session; it must not be a literal.
     groups = [F.col(k) for k in keys] or [(F.pmod(F.xxhash64(ts), F.lit(1))).alias("all_rows")]
     grouped = df.groupBy(*groups, F.session_window(ts, gap).alias("session")).agg(
-        *[count(condition).alias(name) for name, condition in counts.items()]
+        *[merged(measure).of_rows.alias(name) for name, measure in counts.items()]
     )
     return grouped.select(
         *keys,

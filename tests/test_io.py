@@ -13,11 +13,11 @@ from freshet.sources import kafka
 
 # Fixed values.
 LINES = [
-    "Lorem Ipsum is simply dummy text of the printing and typesetting industry.",
-    "It has survived not only five centuries,",
-    "remaining essentially unchanged.",
+    "A beck runs down from the fell.",
+    "After rain it is in spate,",
+    "and the ford cannot be crossed.",
 ]
-PEOPLE = [("Dan", 33), ("Alice", 3), ("Bob", 23), ("Mary", 43), ("Bob", 23)]
+PEOPLE = [("Una", 51), ("Odd", 8), ("Ivo", 30), ("Pia", 19), ("Ivo", 30)]
 
 
 def people(spark):
@@ -32,11 +32,27 @@ def test_sequence_has_both_ends(spark):
 def test_person_round_trip(spark):
     messages = codecs.encode_person(people(spark)).select("value")
     assert dict(messages.dtypes) == {"value": "binary"}
-    assert bytes(messages.first()["value"]) == b"Dan, 33"
+    assert bytes(messages.first()["value"]) == b"Una, 51"
     back = codecs.decode_person(messages).select("name", "age")
     assert sorted(map(tuple, back.collect())) == sorted(PEOPLE)
 
 
+@pytest.mark.parametrize("raw", [b"Ann,\t3", b"\n Ann\r,\x0b 3 \n", b"Ann,3"])
+def test_white_space_around_fields(spark, raw):
+    df = spark.createDataFrame([(bytearray(raw),)], "value binary")
+    for strict in (True, False):
+        row = codecs.decode_person(df, strict=strict).first()
+        assert (row["name"], row["age"]) == ("Ann", 3)
+
+
+def test_bytes_that_are_no_text(spark):
+    df = spark.createDataFrame([(bytearray(b"A\xff, 3"),), (bytearray(b"Ann, 3"),), (None,)], "value binary")
+    good, bad = codecs.split_malformed(df)
+    assert [r["name"] for r in good.collect()] == ["Ann"] and bad.count() == 2
+    with pytest.raises(Exception, match="(?i)utf"):
+        codecs.decode_person(df).collect()
+
+
 @pytest.mark.parametrize("text", ["Bob", "Bob, x", "Bob,", ""])
 def test_malformed_person(spark, text):
     df = src.literal(spark, [("Ann , 3",), (text,)], "value string").select(F.encode("value", "UTF-8").alias("value"))

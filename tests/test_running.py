@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from freshet.operators import state
@@ -115,13 +116,32 @@ def test_recent_history_with_ties(spark, slot_rows):
     assert len(got) == 300
 
 
-def test_count_map_leaves_unseen_categories_out(spark):
+@pytest.mark.parametrize("wide", [1000, 3])
+@pytest.mark.parametrize("slot_rows", [None, 40])
+def test_count_map_counts_every_category(spark, wide, slot_rows):
+    """Side by side or in groups: the same columns and rows, with no list of categories."""
     rows, df = make(spark)
-    counted = state.count_map(df.withColumn("c", F.col("v").cast("string")), ["k"], ORDER, "c", ["1", "2"], slot_rows=40)
+    odd = F.when(F.col("v") % 7 != 0, F.col("v").cast("string"))
+    counted = state.count_map(df.withColumn("c", odd), ["k"], ORDER, "c", slot_rows=slot_rows, wide=wide)
+    assert counted.columns == [*df.columns, "c", "counts"] and dict(counted.dtypes)["counts"] == "map<string,bigint>"
     want = model(rows)
-    for r in counted.collect():
-        items = want[r["id"]][3]
-        assert r["counts"] == {c: items.count(int(c)) for c in ("1", "2") if items.count(int(c))}
+    found = counted.collect()
+    assert len(found) == len(rows)
+    for r in found:
+        items = [str(i) for i in want[r["id"]][3] if i % 7]
+        assert r["counts"] == {c: items.count(c) for c in items}
+
+
+@pytest.mark.parametrize("kind", ["decimal(10,2)", "int", "double", "bigint"])
+def test_sums_have_one_type_and_value_on_either_path(spark, kind):
+    _, df = make(spark)
+    values = df.withColumn("x", (F.col("v") / 7 + F.col("id")).cast(kind))
+    plain = values.select("id", F.sum("x").over(Window.partitionBy("k").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)).alias("total"))
+    cut = state.reduce_running(values, ["k"], ORDER, "x", slot_rows=40).select("id", "total")
+    assert cut.schema["total"].dataType == plain.schema["total"].dataType
+    want = {r["id"]: r["total"] for r in plain.collect()}
+    for r in cut.collect():
+        assert r["total"] == (pytest.approx(want[r["id"]], rel=1e-12) if kind == "double" else want[r["id"]])
 
 
 @pytest.mark.parametrize("purge", [False, True])

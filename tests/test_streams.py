@@ -1,5 +1,6 @@
 """Streams: late data, recovery, several files, state across micro-batches."""
 
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -14,7 +15,7 @@ from freshet.plans.scratch import fresh_folder
 from freshet.sources import events as src
 from freshet.streaming import batches, state
 from freshet.streaming import windows as stream_win
-from freshet.streaming.run import drain, drained_table, progress, start_continuous
+from freshet.streaming.run import ProgressLog, drain, drained_table, latest_progress, start_continuous, start_updating
 
 BASE = datetime(2024, 1, 1, tzinfo=timezone.utc)
 ORDER = ["ts", "event_id"]
@@ -63,7 +64,7 @@ def test_late_rows_are_dropped_per_micro_batch(spark):
     query = drain(ids, f"{out}/data", f"{out}/checkpoint")
     got = {r["window_start"].second: r["ids"] for r in spark.read.parquet(f"{out}/data").collect()}
     assert got == {0: [1, 3], 9: [2], 18: [4], 30: [5]}
-    assert sum(p["late_rows"] for p in progress(query)) == 1
+    assert sum(p["late_rows"] for p in latest_progress(query)) == 1
 
 
 def test_without_watermark_nothing_is_late(spark):
@@ -134,7 +135,7 @@ def test_closed_window_state_is_dropped(spark, split):
     fired = state.count_trigger(windowed, ["window_start", "window_end"], ORDER, 5, window_end="window_end")
     out = fresh_folder(spark, "evict")
     query = drain(fired, f"{out}/data", f"{out}/checkpoint")
-    steps = progress(query)
+    steps = latest_progress(query)
     assert steps[-1]["state_rows"] <= 2 < max(p["state_rows"] for p in steps)
 
 
@@ -202,7 +203,9 @@ def test_thresholds_read_again_for_each_micro_batch(spark):
     write(rows, 0)
     known.append((at + timedelta(seconds=5), 3))
     write(rows, 1)
-    got = spark.read.parquet(path)
+    known.append((at + timedelta(seconds=6), 9))
+    write(rows, 1)  # a repeated batch sees what its first attempt saw
+    got = spark.read.parquet(f"{path}/rows")
     assert [(r["batch_id"], r["threshold"]) for r in got.collect()] == [(1, 3)]
 
 
@@ -237,8 +240,75 @@ def test_running_on_the_engine_clock(spark, data, split):
     assert rows_of(got) == rows_of(want.select("window_start", "n"))
 
 
+def test_progress_of_a_long_run_is_complete(spark):
+    """More micro-batches than the engine remembers."""
+    folder, out = fresh_folder(spark, "many"), fresh_folder(spark, "many-out")
+    spark.range(0, 1300, 1, 130).selectExpr(
+        "id as event_id", "timestamp'2024-01-01' as ts", "id as user_id", "'view' as event_type", "0d as value", "'' as props"
+    ).write.parquet(folder)
+    log = ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        query = drain(src.event_stream(spark, folder, 1).select("event_id"), f"{out}/data", f"{out}/checkpoint")
+        steps = log.of(query)
+    finally:
+        spark.streams.removeListener(log)
+    assert sum(p["rows"] for p in steps) == 1300 and len(latest_progress(query)) < len(steps)
+
+
+NULLS = [(i, (i * 37) % 101, None if i % 5 == 0 else 1 + i % 2, None if i % 3 == 0 else (1 << 53) + i, None if i % 4 == 0 else "abc"[i % 3]) for i in range(240)]
+
+
+@pytest.fixture(scope="module")
+def holey(spark):
+    """(folder of three time-ordered files, the same rows as a table), with nulls in every column but the order."""
+    folder = fresh_folder(spark, "holey")
+    table = spark.createDataFrame(NULLS, "event_id long, s int, user_id long, v long, c string")
+    table = table.withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("event_id"))).drop("s").persist()
+    for part in range(3):
+        table.where(F.floor(F.col("event_id") / 80) == part).coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(0.05)
+    return folder, table
+
+
+@pytest.mark.parametrize("name", ["reduce", "map", "history", "chunks", "recent"])
+def test_streams_treat_nulls_as_batches_do(spark, holey, name):
+    folder, table = holey
+    stream = src.event_stream(spark, folder, 1, schema=table.schema)
+    keys, value = ["user_id"], F.col("v").cast("string")
+    streamed, batch = {
+        "reduce": (state.reduce_running(stream, keys, ORDER, "v"), batch_state.reduce_running(table, keys, ORDER, "v")),
+        "map": (state.count_map(stream, keys, ORDER, "c"), batch_state.count_map(table, keys, ORDER, "c")),
+        "history": (state.history(stream, keys, ORDER, "v"), batch_state.history(table, keys, ORDER, value)),
+        "chunks": (state.history(stream, keys, ORDER, "v", 7), batch_state.chunked_history(table, keys, ORDER, value, 7)),
+        "recent": (
+            state.recent_history(stream, keys, ORDER, "v", "20 seconds"),
+            batch_state.recent_history(table, keys, ORDER, value, "20 seconds"),
+        ),
+    }[name]
+    got = drained_table(spark, streamed, f"holey-{name}")
+    shown = lambda df: sorted((r[0], str(r[1])) for r in df.select("event_id", F.col(df.columns[-1]).cast("string")).collect())
+    assert len(shown(got)) == len(NULLS) and shown(got) == shown(batch)
+
+
+def test_update_mode_writer(spark, split):
+    timed = src.event_time(src.event_stream(spark, split, 1), F.col("ts"), "1 hour")
+    counted = win.tumbling(timed, "ts", "3 hours", {"n": win.count()})
+    out, seen = fresh_folder(spark, "updating"), {}
+
+    def write(batch, batch_id):
+        seen.update({r["window_start"]: r["n"] for r in batch.collect()})
+
+    query = start_updating(counted, write, f"{out}/checkpoint")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sum(seen.values()) == 1000
+
+
 def test_byte_limit_bounds_a_micro_batch(spark, split):
     df = src.event_stream(spark, split, max_bytes_per_trigger=1).select("event_id")
     out = fresh_folder(spark, "bytes")
     query = drain(df, f"{out}/data", f"{out}/checkpoint")
-    assert [p["rows"] for p in progress(query) if p["rows"]] == [334, 334, 332]
+    assert [p["rows"] for p in latest_progress(query) if p["rows"]] == [334, 334, 332]
