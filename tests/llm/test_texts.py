@@ -123,7 +123,7 @@ def test_pseudo_likelihood_adds_up(spark):
     texts = lm.spelled(docs, vocabulary)
     weights = lm.train(texts, vocabulary, 1)
     found = {r.doc_id: r for r in lm.pseudo_likelihood(texts, weights).collect()}
-    symbols = [0, 0] + [vocabulary.symbol(w) for w in "the cat sat on the mat".split()] + [0, 0]
+    symbols = [0, 0] + [vocabulary.symbol(w) for w in b"the cat sat on the mat".split()] + [0, 0]
     total = 0.0
     for at in range(2, len(symbols) - 2):
         near = np.array([[symbols[at - 2], symbols[at - 1], symbols[at + 1], symbols[at + 2]]] * lm.SYMBOLS)
