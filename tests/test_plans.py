@@ -41,7 +41,7 @@ def test_plans_of_the_streams_themselves(spark, data, monkeypatch):
     seen = {}
 
     def planned(spark, df, label):
-        seen[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        seen[label] = df._jdf.queryExecution().analyzed().toString()
         return spark.createDataFrame([], df.schema)
 
     monkeypatch.setattr(streams, "drained_table", planned)
