@@ -30,6 +30,11 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), same.alias("exact"))
 
 
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return found.select("doc_id", *BASE, "base_failed", "kept", "rule")
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"))
 
@@ -40,19 +45,11 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
-def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(table(spark, folder, "documents"))
-
 
 def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    found = quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
-    return found.select("doc_id", *BASE, "base_failed", "kept", "rule")
-
-
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     found = toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted")
@@ -74,5 +71,20 @@ def op9_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     return score_documents(table(spark, folder, "documents"))
 
 
-QUERIES = {"op9_lm_scores": op9_lm_scores, "op8_html": op8_html, "op7_pii": op7_pii, "op6_secrets": op6_secrets, "op1_sentencepiece": op1_sentencepiece, "op2_quality_rules": op2_quality_rules, "op5_toxicity": op5_toxicity, "op3_exact_dedup": op3_exact_dedup, "op4_mixing": op4_mixing, "op10_simhash": op10_simhash}
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_exact_dedup": op3_exact_dedup,
+    "op4_mixing": op4_mixing,
+    "op5_toxicity": op5_toxicity,
+    "op6_secrets": op6_secrets,
+    "op7_pii": op7_pii,
+    "op8_html": op8_html,
+    "op9_lm_scores": op9_lm_scores,
+    "op10_simhash": op10_simhash,
+}
 SQL = {"op3_exact_dedup": OP3_SQL}
