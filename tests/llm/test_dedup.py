@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from check import compare
 from freshet.llm import exact_dedup, simhash
 from freshet.llm.components import components
 from freshet.llm.queries import QUERIES
@@ -141,3 +142,8 @@ def test_exact_query_has_no_python(spark, data):
 def test_fingerprint_column(spark):
     found = spark.createDataFrame([("a b c",), (None,)], "text string").select(simhash.fingerprints(F.col("text")))
     assert [r[0] & (2**64 - 1) for r in found.collect()] == [plain_fingerprint("a b c"), 0]
+
+
+def test_exact_query_equals_its_sql(spark, con, data):
+    good, text = compare(spark, con, "op3_exact_dedup", data)
+    assert good, text
