@@ -78,20 +78,13 @@ def interval_join(
     ``lower`` and ``upper`` are intervals added to the left time, such as
     ``"-2 hours"`` and ``"2 hours"``. A batch joins on key and time bucket: a
     left row is in one bucket, a right row in the one or two it can reach, so
-    rows far apart in time never meet, however many a key has.
+    rows far apart in time never meet, however many a key has. On streams both sides need
+    a watermark on ``ts``.
     """
     a, b = _side(left, "left", keys), _side(right, "right", keys)
     low, high = F.col(f"left_{ts}") + interval(lower), F.col(f"left_{ts}") + interval(upper)
     time = F.col(f"right_{ts}")
     near = (time >= low if lower_inclusive else time > low) & (time <= high if upper_inclusive else time < high)
-    if left.isStreaming or right.isStreaming:
-        same = None
-        for key in keys:
-            equal = a[key] == b[key]
-            same = equal if same is None else same & equal
-        joined = a.join(b, near if same is None else same & near)
-        return joined.select(*[a[k] for k in keys], *[c for c in [*a.columns, *b.columns] if c not in keys])
-
     from_us, to_us = interval_micros(left, lower), interval_micros(left, upper)
     if to_us < from_us:
         raise ValueError("upper bound before lower bound")
@@ -104,6 +97,15 @@ def interval_join(
     us = micros(b, f"right_{ts}")
     reach = F.sequence(bucket(us - F.lit(to_us)), bucket(us - F.lit(from_us)), F.lit(width).cast("bigint"))
     b = b.withColumn("bucket", F.explode(reach))
+    if left.isStreaming or right.isStreaming:
+        # The time range stays in the condition: it lets the engine drop old state.
+        on = [*keys, "bucket"]
+        b = b.select(*[F.col(c).alias(f"__{c}") if c in on else F.col(c) for c in b.columns])
+        same = near
+        for key in on:
+            same = same & (a[key] == b[f"__{key}"])
+        joined = a.join(b, same)
+        return joined.select(*keys, *[c for c in [*a.columns, *b.columns] if c not in on and c not in {f"__{k}" for k in on}])
     pairs = spread_join(a, b, [*keys, "bucket"], f"left_{row_id}", f"right_{row_id}", slot_rows)
     return pairs.where(near).drop("bucket")
 

@@ -37,6 +37,9 @@ SLOT_ROWS = 1_000_000
 SLOTS_PER_TASK = 4
 """Slots are placed by hash; several per task even out."""
 
+HOT_SHARES = 4
+"""Even shares of the rows above which a key is hot; a task can take that much of one key."""
+
 MIN_SLOT_ROWS = 1_000
 """Rows worth a slot of their own, however many tasks the session asks for."""
 
@@ -191,8 +194,9 @@ def plan_slots(
 ) -> Slots | None:
     """Find the hot keys and the bounds that cut their rows; ``None`` if no key is hot.
 
-    A key is hot when it holds more than one even share of the rows. Reads only
-    the key and order columns, as a count and a sample.
+    A key is hot when it holds more than ``HOT_SHARES`` even shares of the rows. The number of
+    slots follows the largest hot key, not all of them together: smaller ones need fewer,
+    and every (hot key, slot) costs a seed. Reads only the key and order columns, as a count and a sample.
     """
     wanted = [F.count(F.lit(1)).alias("rows"), F.min(_whole(df, order[0])).alias("origin")]
     if len(order) > 1:
@@ -206,7 +210,6 @@ def plan_slots(
     tie_low = float(low or 0)
     tie_span = float(high - low + 1) if low is not None else 0.0
 
-    # A key is hot above one task's share; its rows are then cut finer than that.
     shares = slot_count(df, rows, slot_rows)
     cuts = slot_count(df, rows, slot_rows, SLOTS_PER_TASK)
     if shares == 1:
@@ -223,12 +226,13 @@ def plan_slots(
     hot: tuple[int, ...] = ()
     if keys:
         sampled = min(1.0, fraction) * rows
-        heavy = sample.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > sampled / shares)
+        heavy = sample.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_SHARES * sampled / shares)
         found = heavy.collect()
         if not found:
             return None
         hot = tuple(sorted(row[_HASH] for row in found))
-        cuts = min(cuts, math.ceil(cuts * sum(row["n"] for row in found) / sampled))
+        # HOT_SHARES times finer than it needs, since another key's rows may lie elsewhere in the order.
+        cuts = min(cuts, math.ceil(HOT_SHARES * cuts * max(row["n"] for row in found) / sampled))
         sample = sample.where(F.col(_HASH).isin(list(hot)))
 
     splits: tuple[float, ...] = ()

@@ -48,7 +48,7 @@ def test_plans_of_the_streams_themselves(spark, data, monkeypatch):
     for name, query in streams.QUERIES.items():
         if name not in BATCHED:
             query(spark, data)
-    assert len(seen) >= 16
+    assert len(seen) >= 14
     for label, text in seen.items():
         for line in text.splitlines():
             # Every join of two streams has an equality to be dealt out by.
@@ -57,11 +57,20 @@ def test_plans_of_the_streams_themselves(spark, data, monkeypatch):
                 assert " = " in line, label
 
 
+def test_streams_meet_on_time_buckets(spark, data, monkeypatch):
+    seen = []
+    monkeypatch.setattr(streams, "drained_table", lambda spark, df, label: seen.append(df) or spark.createDataFrame([], df.schema))
+    streams.stream_interval_join(spark, data)
+    assert re.search(r"Join Inner, .*bucket#\d+L? = __bucket#\d+L?", seen[0]._jdf.queryExecution().analyzed().toString())
+
+
 BATCHED = {
     "stream_connect_ratio",
     "stream_global_count_trigger",
     "stream_count_below_threshold",
     "stream_changing_threshold",
+    "stream_count_trigger",
+    "stream_purging_trigger",
     "sink_stream_text",
 }
 
