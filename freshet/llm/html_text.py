@@ -1,7 +1,7 @@
 """Main text of web pages, by removing the templates of their sites.
 
 Every element subtree of a page is hashed (its markup and text). Spark counts, per host, on
-how many pages each hash occurs. A subtree that recurs on many pages of its host is part of the
+how many different pages each hash occurs. A subtree that recurs on many pages of its host is part of the
 site's template and is cut out. The article itself is exempt: a sentence that
 many articles share is still the article's. What is boilerplate by its element or by
 its name (navigation, forms, adverts, comments ...) is cut out on every page, also on a host's only one.
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from freshet.llm.base import saved
 
-#: A subtree is a template's if it is on so many pages of the host, and on this share of them or on ``MANY``.
+#: A subtree is a template's if it is on so many different pages of the host, and on this share of them or on ``MANY``.
 LEAST, SHARE, MANY = 3, 0.01, 50
 
 # HTML's element classes.
@@ -223,12 +223,16 @@ def templates(pages: DataFrame) -> DataFrame:
 
     def hash_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [(h, x) for h, page in zip(batch["host"], batch["html"]) for x in page_hashes(page)]
-            yield pd.DataFrame(found, columns=["host", "hash"]).astype({"host": object})
-
-    rows = pages.select(host(F.col("url")).alias("host"), "html")
-    seen = rows.mapInPandas(hash_all, "host string, hash long").groupBy("host", "hash").agg(F.count("*").alias("pages"))
-    counts = rows.groupBy("host").agg(F.count("*").alias("every"))
+            found = pd.Series([page_hashes(page) for page in batch["html"]], dtype=object)
+            yield pd.DataFrame({"host": batch["host"], "content": batch["content"], "hashes": found})
+
+    # Copies of a page are one page: of equal contents of a host one row is counted.
+    page = F.coalesce("html", F.lit(""))
+    rows = pages.select(host(F.col("url")).alias("host"), F.xxhash64(page).alias("content"), page.alias("html"))
+    hashed = rows.mapInPandas(hash_all, "host string, content long, hashes array<long>")
+    different = hashed.groupBy("host", "content").agg(F.first("hashes").alias("hashes"))
+    seen = different.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("pages"))
+    counts = rows.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("every"))
     often = seen.where(F.col("pages") >= LEAST).join(counts, "host")
     return often.where((F.col("pages") >= SHARE * F.col("every")) | (F.col("pages") >= MANY)).select("host", "hash")
 

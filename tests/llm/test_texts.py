@@ -105,6 +105,15 @@ def test_templates_are_cut_per_host_and_articles_are_not(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+@pytest.mark.parametrize("copies", [3, 60])
+def test_copies_of_a_page_make_no_template(spark, copies):
+    page = "<body><div><p>A story</p><p>told {0}</p></div></body>"
+    rows = [(i, "http://a.example/", page.format("often")) for i in range(copies)] + [(0, "http://b.example/", page.format("again"))] * copies
+    found = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(found) == 2 * copies
+    assert {(r.url, r.text) for r in found} == {("http://a.example/", "A story\n\ntold often"), ("http://b.example/", "A story\n\ntold again")}
+
+
 def test_pages_table(spark, data):
     """The table's articles, read with a plain expression."""
     import html
