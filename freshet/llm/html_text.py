@@ -1,8 +1,8 @@
 """Main text of web pages, by removing the templates of their sites.
 
 Every element subtree of a page is hashed (its markup and text). Spark counts, per host, on
-how many different pages each hash occurs. A subtree that recurs on many pages of its host is part of the
-site's template and is cut out. The article itself is exempt: a sentence that
+how many different pages each hash occurs. A block that recurs on half of the different pages of its host is part of the
+site's template and is cut out, however large the host; inline elements and table cells never are. The article itself is exempt: a sentence that
 many articles share is still the article's. What is boilerplate by its element or by
 its name (navigation, forms, adverts, comments ...) is cut out on every page, also on a host's only one.
 """
@@ -20,14 +20,16 @@ from pyspark.sql import functions as F
 
 from freshet.llm.base import saved
 
-#: A subtree is a template's if it is on so many different pages of the host, and on this share of them or on ``MANY``.
-LEAST, SHARE, MANY = 3, 0.01, 50
+#: A subtree is a template's if it is on so many different pages of the host, and on this share of them.
+LEAST, SHARE = 3, 0.5
 
 # HTML's element classes.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 GONE = frozenset("head script style noscript template iframe object svg canvas nav footer aside form button select option input textarea dialog menu audio video noembed noframes map".split())
 BLOCK = frozenset("address article blockquote body caption center dd details div dl dt fieldset figcaption figure footer h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul aside form".split())
+#: What may be a template's: blocks, but not the parts of a table, which hold figures inside a text.
+PARTS = BLOCK - frozenset("html body caption tbody td tfoot th thead tr".split())
 #: What closes an open <p>, and what closes its own kind.
 CLOSES_P = BLOCK - frozenset("body html caption td th tr tbody thead tfoot legend summary figcaption".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -131,7 +133,7 @@ def subtrees(root: Element) -> list[Element]:
 
 
 def open_elements(root: Element) -> list[Element]:
-    """The topmost elements that may be a template's: outside the article and not boilerplate anyway."""
+    """The elements that may be a template's: outside the article and not boilerplate anyway."""
     found, waiting = [], list(root.parts)
     while waiting:
         part = waiting.pop()
@@ -146,8 +148,7 @@ def page_hashes(page: str | None) -> list[int]:
     """Signed hashes of the subtrees that templates are looked for among; each once."""
     root = parse(page or "")
     subtrees(root)
-    holders = ("body", "html")
-    return sorted({e.hash - (1 << 64) if e.hash >> 63 else e.hash for e in open_elements(root) if e.tag not in holders and e.parts})
+    return sorted({e.hash - (1 << 64) if e.hash >> 63 else e.hash for e in open_elements(root) if e.tag in PARTS and e.parts})
 
 
 def main_text(page: str | None, template: set[int] = frozenset()) -> str:
@@ -183,7 +184,7 @@ def main_text(page: str | None, template: set[int] = frozenset()) -> str:
             continue
         if part in inside:
             shown = True
-        elif not inside and part.parts and (part.hash - (1 << 64) if part.hash >> 63 else part.hash) in template:
+        elif not inside and part.tag in PARTS and part.parts and (part.hash - (1 << 64) if part.hash >> 63 else part.hash) in template:
             continue
         if part.tag == "br":
             held.append(" ")
@@ -234,7 +235,7 @@ def templates(pages: DataFrame) -> DataFrame:
     seen = different.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("pages"))
     counts = rows.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("every"))
     often = seen.where(F.col("pages") >= LEAST).join(counts, "host")
-    return often.where((F.col("pages") >= SHARE * F.col("every")) | (F.col("pages") >= MANY)).select("host", "hash")
+    return often.where(F.col("pages") >= SHARE * F.col("every")).select("host", "hash")
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -114,6 +114,15 @@ def test_copies_of_a_page_make_no_template(spark, copies):
     assert {(r.url, r.text) for r in found} == {("http://a.example/", "A story\n\ntold often"), ("http://b.example/", "A story\n\ntold again")}
 
 
+def test_only_blocks_on_a_share_of_the_host_are_templates(spark):
+    page = "<body><div><p>Welcome</p></div>{1}<div>Do <em>not</em> go, {0}<table><tr><td>0</td><td>{0}</td></tr></table></div></body>"
+    rows = [(i, "http://a.example/", page.format(i, "<p>Thanks.</p>" if i < 60 else "")) for i in range(400)]
+    found = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    text = {r.page_id: r.text for r in found.collect()}
+    assert text[7] == "Thanks.\n\nDo not go, 7\n\n0\n\n7"
+    assert text[99] == "Do not go, 99\n\n0\n\n99"
+
+
 def test_pages_table(spark, data):
     """The table's articles, read with a plain expression."""
     import html
