@@ -2,7 +2,8 @@
 
 Every element subtree of a page is hashed (its markup and text). Spark counts, per host, on
 how many different pages each hash occurs. A block that recurs on half of the different pages of its host is part of the
-site's template and is cut out, however large the host; inline elements and table cells never are. The article itself is exempt: a sentence that
+site's template and is cut out, however large the host; inline elements and table cells never are. Inside
+the article only containers are cut, at a higher share: a sentence that
 many articles share is still the article's. What is boilerplate by its element or by
 its name (navigation, forms, adverts, comments ...) is cut out on every page, also on a host's only one.
 """
@@ -22,6 +23,8 @@ from freshet.llm.base import saved
 
 #: A subtree is a template's if it is on so many different pages of the host, and on this share of them.
 LEAST, SHARE = 3, 0.5
+#: The share for containers inside an article, high to spare what articles have in common.
+INSIDE = 0.8
 
 # HTML's element classes.
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
@@ -30,6 +33,8 @@ GONE = frozenset("head script style noscript template iframe object svg canvas n
 BLOCK = frozenset("address article blockquote body caption center dd details div dl dt fieldset figcaption figure footer h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul aside form".split())
 #: What may be a template's: blocks, but not the parts of a table, which hold figures inside a text.
 PARTS = BLOCK - frozenset("html body caption tbody td tfoot th thead tr".split())
+#: What may be a template's inside an article: containers, but no paragraphs, headings or list items.
+CONTAINERS = frozenset("address center details div dl figure hgroup ol section table ul".split())
 #: What closes an open <p>, and what closes its own kind.
 CLOSES_P = BLOCK - frozenset("body html caption td th tr tbody thead tfoot legend summary figcaption".split())
 SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
@@ -139,16 +144,40 @@ def open_elements(root: Element) -> list[Element]:
         part = waiting.pop()
         if isinstance(part, str) or part.tag in MAIN or part.boilerplate():
             continue
-        found.append(part)
+        if part.tag in PARTS and part.parts:
+            found.append(part)
         waiting.extend(part.parts)
     return found
 
 
-def page_hashes(page: str | None) -> list[int]:
-    """Signed hashes of the subtrees that templates are looked for among; each once."""
+def inner_elements(articles: set[Element]) -> list[Element]:
+    """The containers inside the articles that are not boilerplate anyway."""
+    found, waiting = [], [part for article in articles for part in article.parts]
+    while waiting:
+        part = waiting.pop()
+        if isinstance(part, str) or part.boilerplate():
+            continue
+        if part.tag in CONTAINERS and part.parts:
+            found.append(part)
+        waiting.extend(part.parts)
+    return found
+
+
+def signed(element: Element, inner: bool) -> int:
+    """A subtree's hash as Spark holds it; the lowest bit tells those inside an article."""
+    found = element.hash & ~1 | inner
+    return found - (1 << 64) if found >> 63 else found
+
+
+def page_hashes(page: str | None, shown: bool = False) -> list[int]:
+    """Hashes of the subtrees that templates are looked for among, each once; if ``shown``, only of those that could be in the text."""
     root = parse(page or "")
     subtrees(root)
-    return sorted({e.hash - (1 << 64) if e.hash >> 63 else e.hash for e in open_elements(root) if e.tag in PARTS and e.parts})
+    articles = _articles(root)
+    found = {signed(e, True) for e in inner_elements(articles)}
+    if not (shown and articles):
+        found.update(signed(e, False) for e in open_elements(root))
+    return sorted(found)
 
 
 def main_text(page: str | None, template: set[int] = frozenset()) -> str:
@@ -184,7 +213,7 @@ def main_text(page: str | None, template: set[int] = frozenset()) -> str:
             continue
         if part in inside:
             shown = True
-        elif not inside and part.tag in PARTS and part.parts and (part.hash - (1 << 64) if part.hash >> 63 else part.hash) in template:
+        elif template and part.parts and part.tag in (CONTAINERS if inside else PARTS) and signed(part, bool(inside)) in template:
             continue
         if part.tag == "br":
             held.append(" ")
@@ -195,6 +224,9 @@ def main_text(page: str | None, template: set[int] = frozenset()) -> str:
             waiting.append((None, shown))
         waiting.extend((p, shown) for p in reversed(part.parts))
     flush()
+    if inside and template and not blocks:
+        # An article is never a template as a whole.
+        return main_text(page)
     return "\n\n".join(blocks)
 
 
@@ -235,7 +267,8 @@ def templates(pages: DataFrame) -> DataFrame:
     seen = different.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count("*").alias("pages"))
     counts = rows.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("every"))
     often = seen.where(F.col("pages") >= LEAST).join(counts, "host")
-    return often.where(F.col("pages") >= SHARE * F.col("every")).select("host", "hash")
+    share = F.when(F.col("hash").bitwiseAND(1) == 1, INSIDE).otherwise(SHARE)
+    return often.where(F.col("pages") >= share * F.col("every")).select("host", "hash")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -249,7 +282,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def needs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = [(k, h, x) for k, h, page in zip(batch["key"], batch["host"], batch["html"]) for x in page_hashes(page)]
+            out = [(k, h, x) for k, h, page in zip(batch["key"], batch["host"], batch["html"]) for x in page_hashes(page, True)]
             yield pd.DataFrame(out, columns=["key", "host", "hash"]).astype({"host": object})
 
     key = F.xxhash64("page_id", "url", "html").alias("key")

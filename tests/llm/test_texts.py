@@ -123,6 +123,17 @@ def test_only_blocks_on_a_share_of_the_host_are_templates(spark):
     assert text[99] == "Do not go, 99\n\n0\n\n99"
 
 
+def test_containers_that_articles_share_are_cut(spark):
+    page = "<body><article><h1>Title {0}</h1><p>Same sentence</p><p>Own {0}</p><div class=bar7><a>Pass it on</a></div><div>{1}</div></article></body>"
+    rows = [(i, "http://a.example/", page.format(i, "Seen twice" if i < 4 else i)) for i in range(9)]
+    rows += [(i, "http://b.example/", f"<body><p>{i}</p><article><div>The story</div></article></body>") for i in range(9)]
+    found = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    text = {(r.page_id, r.url): r.text for r in found.collect()}
+    assert text[2, "http://a.example/"] == "Title 2\n\nSame sentence\n\nOwn 2\n\nSeen twice"
+    assert text[8, "http://a.example/"] == "Title 8\n\nSame sentence\n\nOwn 8\n\n8"
+    assert text[5, "http://b.example/"] == "The story"
+
+
 def test_pages_table(spark, data):
     """The table's articles, read with a plain expression."""
     import html
