@@ -1,6 +1,7 @@
 """Secret scans: fixed patterns, and a battery of randomness tests for other strings.
 
-A candidate is a run of 20 or more characters that keys are written in. Its encoding is
+A candidate is a run of 20 or more characters that keys are written in, or what lies between
+its equals signs and slashes. Its encoding is
 inferred from the characters it uses. Three tests ask whether it could be a random string of
 that encoding: chi-squared uniformity over the alphabet, the number of runs above and
 below the alphabet's middle, and the correlation of neighbours. Their smallest p-value, times
@@ -36,6 +37,8 @@ KINDS = ["assign", "access", "hex", "random"]
 
 #: What a candidate looks like, and its alphabets by name.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: What a candidate run is cut into, and a piece at its slashes.
+PIECE, SEGMENT = r"[^=]+=*", r"[^/]+"
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ALPHABETS = {
     "hex": DIGITS + "abcdef",
@@ -60,24 +63,50 @@ def _tail(z: Column) -> Column:
     return F.when(z >= 0, upper).otherwise(1 - upper)
 
 
-def candidates(rows: DataFrame) -> DataFrame:
-    """One row per candidate of rows (id, text): id, start, end, body (without padding), encoding, n, k."""
-    found = F.explode(matches(F.col("text"), CANDIDATE)).alias("m")
-    each = rows.select("id", found).select("id", "m.start", "m.end", F.regexp_replace("m.value", "=+$", "").alias("body"))
-    has = {name: F.col("body").rlike(p) for name, p in {"d": "[0-9]", "u": "[A-Z]", "l": "[a-z]", "s": "[+/]", "m": "[-_]", "e": "="}.items()}
-    encoding = (
+def _encoding(body: Column) -> Column:
+    """The encoding of a string by the characters it uses; null if it is none."""
+    has = {name: body.rlike(p) for name, p in {"d": "[0-9]", "u": "[A-Z]", "l": "[a-z]", "s": "[+/]", "m": "[-_]", "e": "="}.items()}
+    return (
         F.when(has["e"] | (has["s"] & has["m"]), None)
-        .when(F.col("body").rlike("^[0-9a-f]+$") & has["d"] & has["l"], "hex")
-        .when(F.col("body").rlike("^[0-9A-F]+$") & has["d"] & has["u"], "HEX")
-        .when(F.col("body").rlike("^[A-Z2-7]+$") & has["d"] & has["u"], "base32")
-        .when(F.col("body").rlike("^[0-9a-z]+$") & has["d"] & has["l"], "base36")
-        .when(F.col("body").rlike("^[0-9A-Z]+$") & has["d"] & has["u"], "BASE36")
+        .when(body.rlike("^[0-9a-f]+$") & has["d"] & has["l"], "hex")
+        .when(body.rlike("^[0-9A-F]+$") & has["d"] & has["u"], "HEX")
+        .when(body.rlike("^[A-Z2-7]+$") & has["d"] & has["u"], "base32")
+        .when(body.rlike("^[0-9a-z]+$") & has["d"] & has["l"], "base36")
+        .when(body.rlike("^[0-9A-Z]+$") & has["d"] & has["u"], "BASE36")
         .when(~(has["d"] & has["u"] & has["l"]), None)
         .when(has["s"], "base64")
         .when(has["m"], "base64url")
         .otherwise("base62")
     )
-    each = each.withColumn("encoding", encoding).where(F.col("encoding").isNotNull() & (F.length("body") >= 16))
+
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """One row per candidate of rows (id, text): id, start, end, body (without padding), encoding, n, k, and
+    ``piece`` (where the part between equals signs starts) with ``whole``.
+
+    A run is cut at equals signs that are not padding at its end. Such a piece is a candidate, and
+    so is what lies between its slashes: a path before a key must not hide it.
+    """
+    found = F.explode(matches(F.col("text"), CANDIDATE)).alias("m")
+    runs = rows.select("id", found).select("id", F.col("m.start").alias("run"), F.col("m.end").alias("run_end"), F.col("m.value").alias("value"))
+    pieces = runs.select("id", "run", "run_end", F.explode(matches(F.col("value"), PIECE)).alias("m"))
+    piece = (F.col("run") + F.col("m.start")).alias("piece")
+    end = F.when(F.col("run") + F.col("m.end") == F.col("run_end"), F.col("run_end"))
+    pieces = pieces.select("id", piece, end.alias("padded_end"), F.regexp_replace("m.value", "=+$", "").alias("string"))
+    string = F.col("string")
+    whole = F.struct(F.lit(0).alias("start"), F.length(string).alias("end"), string.alias("value"), string.alias("part"))
+    between = F.when(F.contains(string, F.lit("/")), matches(string, SEGMENT)).otherwise(F.array().cast("array<struct<start:int,end:int,value:string,part:string>>"))
+    parts = pieces.select("id", "piece", "padded_end", string, F.explode(F.concat(F.array(whole), between)).alias("m"))
+    last = F.col("m.end") == F.length(string)
+    each = parts.select(
+        "id",
+        "piece",
+        (F.col("m.end") - F.col("m.start") == F.length(string)).alias("whole"),
+        (F.col("piece") + F.col("m.start")).alias("start"),
+        F.coalesce(F.when(last, F.col("padded_end")), F.col("piece") + F.col("m.end")).alias("end"),
+        F.col("m.value").alias("body"),
+    )
+    each = each.withColumn("encoding", _encoding(F.col("body"))).where(F.col("encoding").isNotNull() & (F.length("body") >= 16))
     alphabet = F.create_map(*(F.lit(x) for pair in ALPHABETS.items() for x in pair))[F.col("encoding")]
     return each.withColumns({"alphabet": alphabet, "n": F.length("body").cast("double"), "k": F.length(alphabet).cast("double")})
 
@@ -132,13 +161,17 @@ def dismissed_bins(found: DataFrame) -> DataFrame:
 
 
 def random_strings(rows: DataFrame) -> DataFrame:
-    """(id, start, end, p) of the candidates that the battery does not dismiss."""
-    found = tested(candidates(rows)).select("id", "start", "end", "encoding", "length_class", "p", "bin", "power")
+    """(id, start, end, p) of the candidates that the battery does not dismiss; of a piece found whole, no parts."""
+    found = tested(candidates(rows)).select("id", "piece", "whole", "start", "end", "encoding", "length_class", "p", "bin", "power")
     found = saved(found, "secret-candidates")
     limits = dismissed_bins(found)
     judged = found.join(limits, ["encoding", "length_class"], "left")
     keep = (F.col("power") >= POWER) & (F.col("from_bin").isNull() | (F.col("bin") < F.col("from_bin")))
-    return judged.where(keep).select("id", "start", "end", "p")
+    # Bounded by what one piece holds.
+    spans = F.collect_set(F.struct("whole", "start", "end", "p")).alias("spans")
+    kept = judged.where(keep).groupBy("id", "piece").agg(spans, F.max("whole").alias("any"))
+    best = kept.select("id", F.explode(F.filter("spans", lambda s: s.whole == F.col("any"))).alias("s"))
+    return best.select("id", "s.start", "s.end", "s.p")
 
 
 def base_spans(text: Column) -> Column:

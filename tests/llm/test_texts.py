@@ -54,6 +54,21 @@ def test_battery_tells_keys_from_words(spark):
     assert len(hit - keys) / 200 < 0.1
 
 
+def test_keys_after_equals_signs_and_slashes_are_found(spark):
+    random.seed(12)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    frames = ["aws_access_value={}", "https://x.example/get?sig={}", "/some-path/of_files/{}", "SIG={}=", "/a-b/k={}"]
+    rows, spans = [], {}
+    for i in range(100):
+        frame, key = frames[i % len(frames)], "".join(random.choice(letters) for _ in range(44))
+        at = frame.index("{")
+        rows.append((i, "see " + frame.format(key) + " end"))
+        spans[i] = f"random:{4 + at}:{4 + at + 44 + (frame[-1] == '=')}"
+    found = {r.doc_id: r.spans for r in secret_scan.secret_digest(secret_scan.secrets(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    for k in range(len(frames)):
+        assert sum(found[i] == spans[i] for i in range(k, 100, len(frames))) >= 16, frames[k]
+
+
 def test_secrets_empty_and_native(spark, data):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert secret_scan.secrets(empty).count() == 0
