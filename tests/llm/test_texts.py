@@ -179,6 +179,12 @@ def test_pseudo_likelihood_adds_up(spark):
     assert lm.score_documents(docs.where("false")).count() == 0
 
 
+def test_every_place_is_trained_on_once():
+    symbols = np.arange(1000, dtype=np.int16)
+    rounds = [lm._masked(symbols, 77, turn, lm.ROUNDS) for turn in range(lm.ROUNDS)]
+    assert sorted(np.concatenate(rounds).tolist()) == list(range(1000))
+
+
 def test_both_sides_are_learnt(spark):
     """After training, real sentences score better than the same words shuffled."""
     random.seed(3)
