@@ -278,7 +278,7 @@ def prefix_trie(sequences: DataFrame, shard_rows: int = SHARD_ROWS, shards: int
             yield from _batches(state.out, _ARROW)
 
     placed = paths.mapInArrow(place, "conv_id bigint, path binary, chars array<int>, shard int")
-    shared = placed.repartition(len(splitters) + 1, "shard").sortWithinPartitions("shard", "path", "conv_id")
+    shared = placed.repartitionById(len(splitters) + 1, "shard").sortWithinPartitions("shard", "path", "conv_id")
     built = saved(shared.mapInArrow(build, _ROW), "trie")
 
     top = _skeleton_nodes(spark, built, skeleton)
