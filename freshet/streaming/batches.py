@@ -14,8 +14,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from freshet.functions.times import interval
 from freshet.operators.joins import changing_threshold
-from freshet.plans.ordering import running, total
+from freshet.plans.ordering import highest, running, total
 
 def _complete(spark: SparkSession, folder: str) -> bool:
     """Whether a write to the folder has been committed."""
@@ -70,6 +71,45 @@ def running_counts(
     return write
 
 
+def late_rows_aside(
+    path: str, ts: str, arrival: Sequence[str], delay: str, slot_rows: int | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Route rows more than ``delay`` behind the newest event that arrived before them to a side table.
+
+    Writes the others to ``path/rows/batch_id=N``, late ones with that ``newest`` time to ``path/late/batch_id=N``. A row
+    is judged by all rows before it along ``arrival``, also of earlier micro-batches, of which one
+    time is carried in ``path/newest/batch_id=N``. Rows without a time are not late.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            run(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.withColumn("__carried", F.lit(False))
+        if batch_id > 0:
+            # The newest time so far enters as a row without an arrival, which comes first.
+            before = spark.read.parquet(f"{path}/newest/batch_id={batch_id - 1}").withColumn("__carried", F.lit(True))
+            rows = rows.unionByName(before, allowMissingColumns=True)
+        rows.agg(F.max(ts).alias(ts)).write.mode("overwrite").parquet(f"{path}/newest/batch_id={batch_id}")
+        seen = running(rows, [], arrival, {"newest": highest(F.col(ts))}, include_current=False, slot_rows=slot_rows)
+        seen = seen.where(~F.col("__carried")).select(*batch.columns, "newest")
+        late = F.coalesce(F.col(ts) < F.col("newest") - interval(delay), F.lit(False))
+        # Rows are asked for twice, but the order is worked out once.
+        seen = seen.withColumn("__late", late).persist()
+        try:
+            for name, chosen in (("late", seen.where("__late")), ("rows", seen.where("not __late").drop("newest"))):
+                chosen.drop("__late").write.mode("overwrite").parquet(f"{path}/{name}/batch_id={batch_id}")
+        finally:
+            seen.unpersist()
+
+    return write
+
+
 def thresholds_now(
     path: str, control: Callable[[], DataFrame], **options
 ) -> Callable[[DataFrame, int], None]:

@@ -33,6 +33,23 @@ def sessions(
     )
 
 
+def busiest_per_period(
+    df: DataFrame, ts: str, size: str, slide: str, period: str, condition: Column | None = None
+) -> DataFrame:
+    """The sliding window with most rows (of those that satisfy ``condition``) in each period of a watermarked stream.
+
+    Two aggregations one after the other: rows are counted per window, and when the watermark has closed a window, it
+    enters the period its end lies in; a period is emitted when the watermark passes its end. The earliest window wins a tie.
+    State holds one row per open window and one per open period, however many rows come in.
+    """
+    wanted = F.count(F.lit(1)) if condition is None else F.count_if(condition)
+    counted = df.groupBy(F.window(ts, size, slide).alias("window")).agg(wanted.alias("n"))
+    bounds = F.struct(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), F.col("n"))
+    rank = F.struct(F.col("n"), (-F.unix_micros("window.start")).alias("early"))
+    best = counted.groupBy(F.window(F.window_time("window"), period).alias("period")).agg(F.max_by(bounds, rank).alias("best"))
+    return best.select(F.col("period.start").alias("period_start"), "best.*")
+
+
 def stamp_arrival(df: DataFrame, name: str = "ingest_ts") -> DataFrame:
     """Add the processing time. Store it: a second run would see another clock."""
     return df.withColumn(name, F.current_timestamp())
