@@ -20,12 +20,13 @@ def decode_person(df: DataFrame, value: str = "value", strict: bool = True) -> D
     """Add ``name`` and ``age`` read from a ``"name, age"`` message.
 
     With ``strict`` a message without an age, with an age that is no number, or that is not
-    UTF-8 fails the job; otherwise both columns are null and ``malformed`` is true.
+    UTF-8 fails the job; otherwise both columns are null and ``malformed`` is true. A null message
+    has a null name and age; it fails no job, and leniently it is malformed.
     """
     text = F.col(value).cast("string")
     fields = F.split(F.validate_utf8(text) if strict else F.try_validate_utf8(text), ",")
     if strict:
-        whole = F.when(F.size(fields) >= 2, _trimmed(F.get(fields, 1))).otherwise(
+        whole = F.when(text.isNull() | (F.size(fields) >= 2), _trimmed(F.get(fields, 1))).otherwise(
             F.raise_error(F.lit("person message without an age"))
         )
         return df.select(

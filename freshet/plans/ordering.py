@@ -37,8 +37,8 @@ SLOT_ROWS = 1_000_000
 SLOTS_PER_TASK = 4
 """Slots are placed by hash; several per task even out."""
 
-HOT_SHARES = 4
-"""Even shares of the rows above which a key is hot; a task can take that much of one key."""
+HOT_ROWS = SLOT_ROWS // 4
+"""Rows of one key that a task takes without being cut, on any number of tasks."""
 
 MIN_SLOT_ROWS = 1_000
 """Rows worth a slot of their own, however many tasks the session asks for."""
@@ -194,7 +194,8 @@ def plan_slots(
 ) -> Slots | None:
     """Find the hot keys and the bounds that cut their rows; ``None`` if no key is hot.
 
-    A key is hot when it holds more than ``HOT_SHARES`` even shares of the rows. The number of
+    A key is hot when it holds more than an even share of the rows (with some room for the sample's error) and
+    more rows than one task should order: ``HOT_ROWS``, or a quarter of all of them where that is less. The number of
     slots follows the largest hot key, not all of them together: smaller ones need fewer,
     and every (hot key, slot) costs a seed. Reads only the key and order columns, as a count and a sample.
     """
@@ -226,13 +227,14 @@ def plan_slots(
     hot: tuple[int, ...] = ()
     if keys:
         sampled = min(1.0, fraction) * rows
-        heavy = sample.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_SHARES * sampled / shares)
+        most = max(1.25 * rows / shares, min(slot_rows or HOT_ROWS, rows / 4))
+        heavy = sample.groupBy(_HASH).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most * sampled / rows)
         found = heavy.collect()
         if not found:
             return None
         hot = tuple(sorted(row[_HASH] for row in found))
-        # HOT_SHARES times finer than it needs, since another key's rows may lie elsewhere in the order.
-        cuts = min(cuts, math.ceil(HOT_SHARES * cuts * max(row["n"] for row in found) / sampled))
+        # Finer than it needs, since another key's rows may lie elsewhere in the order.
+        cuts = min(cuts, math.ceil(SLOTS_PER_TASK * cuts * max(row["n"] for row in found) / sampled))
         sample = sample.where(F.col(_HASH).isin(list(hot)))
 
     splits: tuple[float, ...] = ()

@@ -50,7 +50,13 @@ def test_bytes_that_are_no_text(spark):
     good, bad = codecs.split_malformed(df)
     assert [r["name"] for r in good.collect()] == ["Ann"] and bad.count() == 2
     with pytest.raises(Exception, match="(?i)utf"):
-        codecs.decode_person(df).collect()
+        codecs.decode_person(df.limit(1)).collect()
+
+
+def test_a_null_message_has_no_name(spark):
+    df = spark.createDataFrame([(None,), (bytearray(b"Ann, 3"),)], "value binary")
+    got = codecs.decode_person(df).select("name", "age").collect()
+    assert sorted(map(tuple, got), key=str) == [("Ann", 3), (None, None)]
 
 
 @pytest.mark.parametrize("text", ["Bob", "Bob, x", "Bob,", ""])
