@@ -5,13 +5,15 @@ document's score is the sum over all its places of the log-probability of the wo
 given its neighbours. Unlike a left-to-right model, each word is judged from both sides.
 
 The words of the whole corpus are counted in Spark; the most frequent ones are symbols of their
-own, all others share symbols by the hash of their last three bytes. The output is two-level: first one of 32
+own, all others share symbols by the hash of their last three bytes. The network predicts symbols; a shared one
+times the word's part in it, from the counts, is the probability of the word. The output is two-level: first one of 32
 classes, then one of its 32 members, so that 64 numbers are computed per place, not 1,024.
 
-Training masks every place of all documents in just one of the rounds, which a hash deals it to. Each
-Spark partition trains a replica from the weights of the round before; the replicas are averaged
-with the number of their places as weights. Sums are kept in whole numbers, so that the average does not
-depend on the order in which replicas arrive.
+Training masks every place of all documents in just one of the rounds, which a hash deals it to. Documents are
+dealt into shards by a hash of id and content, as many as the corpus has places for, and stand in the order of
+the hash in them. Each shard trains a replica from the weights of the round before; the replicas are averaged
+with the number of their places as weights. Sums are kept in whole numbers. So neither the files and partitions of
+the table nor the number of cores have a part in the result.
 """
 
 from __future__ import annotations
@@ -34,10 +36,14 @@ SYMBOLS = CLASSES * MEMBERS
 SIDE, WIDTH, HIDDEN = 2, 16, 32
 #: Rounds of averaging, which share all places between them, places per step, step size.
 ROUNDS, STEP, RATE = 2, 1024, 0.05
+#: Places one replica is trained on, in all rounds.
+SHARD_PLACES = 1 << 22
+#: Words whose counts every task is given, the most frequent ones; occurrences added to each word's count.
+KNOWN, ADDED = 1 << 17, 0.5
 #: Whole-number scale of averaged weights, and weights per averaged block.
 SCALE, SLAB = 1 << 30, 1024
-#: Words a task remembers, places scored at once.
-REMEMBERED, PLACES = 500_000, 1 << 16
+#: Places handled at once.
+PLACES = 1 << 16
 SEED = 9
 
 SHAPES = {
@@ -51,67 +57,90 @@ SHAPES = {
 }
 
 
+def _bucket(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word[-3:], 42) % SHARED
+
+
 @dataclass
 class Vocabulary:
-    """Symbols of words in UTF-8: frequent ones have their own."""
+    """What is known of words in UTF-8: the ``KNOWN`` most frequent have a place, the others share one by bucket."""
 
-    own: dict[bytes, int]
+    place: dict[bytes, int]
+    #: Symbol, and logarithm of the word's part in it, by place; the buckets' places come last.
+    symbols: np.ndarray
+    parts: np.ndarray
     #: Occurrences of each symbol in the corpus.
     counts: np.ndarray
 
-    def symbol(self, word: bytes) -> int:
-        found = self.own.get(word)
-        if found is None:
-            found = SYMBOLS - SHARED + xxhash.xxh64_intdigest(word[-3:], 42) % SHARED
-        return found
-
-
-class Symbols(dict):
-    """Symbols by word; remembers a bounded number of words."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        self.symbol = vocabulary.symbol
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = self.symbol(word)
-        return found
-
-    def of(self, text: str | None) -> np.ndarray:
+    def places(self, text: str | None) -> np.ndarray:
         found = (text or "").lower().encode("utf-8", "surrogatepass").split()  # bytes split at ASCII white space only
-        return np.fromiter(map(self.__getitem__, found), dtype=np.int16, count=len(found))
+        get, buckets = self.place.get, len(self.symbols) - SHARED
+        return np.fromiter(
+            (p if (p := get(word)) is not None else buckets + _bucket(word) for word in found), dtype=np.int32, count=len(found)
+        )
+
+    def symbol(self, word: bytes) -> int:
+        found = self.place.get(word)
+        return int(self.symbols[len(self.symbols) - SHARED + _bucket(word) if found is None else found])
 
 
 def spelled(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, symbols): the texts as symbols, which all later passes read in place of the text."""
+    """(shard, mark, doc_id, symbols, parts): the texts as symbols, which all later passes read in place of the text, and
+    the sum of the logarithms of their words' parts in shared symbols. Rows are in their shards, in order."""
 
     def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        symbols = Symbols(vocabulary)
         for batch in batches:
-            rows = pd.Series([symbols.of(text) for text in batch["text"]], dtype=object)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "symbols": rows})
+            rows, parts = [], []
+            for text in batch["text"]:
+                places = vocabulary.places(text)
+                rows.append(vocabulary.symbols[places])
+                parts.append(float(vocabulary.parts[places].sum()))
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "symbols": pd.Series(rows, dtype=object), "parts": parts})
 
-    return docs.select("doc_id", "text").mapInPandas(spell, "doc_id long, symbols array<short>")
+    found = docs.select("doc_id", "text").mapInPandas(spell, "doc_id long, symbols array<short>, parts double")
+    shards = max(1, -(-int(vocabulary.counts.sum()) // SHARD_PLACES))
+    mark = F.xxhash64("doc_id", "symbols")
+    dealt = found.select(F.pmod(mark, F.lit(shards)).cast("int").alias("shard"), mark.alias("mark"), "doc_id", "symbols", "parts")
+    return dealt.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "mark", "doc_id", "symbols")
 
 
 def learn_vocabulary(docs: DataFrame) -> Vocabulary:
-    """Counts the words of all documents; ties are settled by the word."""
+    """Counts the words of all documents; ties are settled by the word.
+
+    A word's part in its symbol is (n + a) / (N + a (D + 1)) of n occurrences of N of the symbol's D words. Beyond
+    the known words n is the mean of the bucket's others, of which an unseen word is one more.
+    """
 
     text = F.lower(F.coalesce("text", F.lit("")))
     counts = docs.select(F.explode(words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     counts = saved(counts, "word-counts")
-    own = counts.orderBy(F.col("n").desc(), "word").limit(SYMBOLS - SHARED - 1).collect()
-    # The same hash as Vocabulary.symbol, over all words; those with symbols of their own are taken off again.
-    place = Vocabulary({}, np.empty(0)).symbol
+    known = [(row.word.encode(), row.n) for row in counts.orderBy(F.col("n").desc(), "word").limit(KNOWN).collect()]
+    own = SYMBOLS - SHARED - 1
+    # The same hash as _bucket, over all words; those with symbols of their own, and known ones, are taken off again.
     shared = F.pmod(F.xxhash64(F.substring(F.col("word").cast("binary"), -3, 3)), F.lit(SHARED))
+    times, kinds = np.zeros(SHARED), np.zeros(SHARED)
+    for row in counts.groupBy(shared.alias("place")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds")).collect():
+        times[row.place], kinds[row.place] = row.n, row.kinds
+    for word, n in known[:own]:
+        times[_bucket(word)] -= n
+        kinds[_bucket(word)] -= 1
     seen = np.zeros(SYMBOLS)
-    for row in counts.groupBy(shared.alias("place")).agg(F.sum("n").alias("n")).collect():
-        seen[SYMBOLS - SHARED + row.place] = row.n
-    for i, row in enumerate(own, 1):
-        seen[i] = row.n
-        seen[place(row.word.encode())] -= row.n
-    return Vocabulary({row.word.encode(): i for i, row in enumerate(own, 1)}, seen)
+    seen[1 : len(known[:own]) + 1] = [n for _, n in known[:own]]
+    seen[SYMBOLS - SHARED :] = times
+    symbols = np.zeros(len(known) + SHARED, dtype=np.int16)
+    parts = np.zeros(len(known) + SHARED)
+    symbols[: len(known[:own])] = np.arange(1, len(known[:own]) + 1)
+    symbols[len(known) :] = np.arange(SYMBOLS - SHARED, SYMBOLS)
+    whole = times + ADDED * (kinds + 1)
+    rest_times, rest_kinds = times.copy(), kinds.copy()
+    for at, (word, n) in enumerate(known[own:], own):
+        bucket = _bucket(word)
+        symbols[at] = SYMBOLS - SHARED + bucket
+        parts[at] = np.log((n + ADDED) / whole[bucket])
+        rest_times[bucket] -= n
+        rest_kinds[bucket] -= 1
+    parts[len(known) :] = np.log((rest_times / (rest_kinds + 1) + ADDED) / whole)
+    return Vocabulary({word: at for at, (word, _) in enumerate(known)}, symbols, parts, seen)
 
 
 def first_weights(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
@@ -131,14 +160,6 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def contexts(symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """Neighbours of each place, left ones first; the edge symbol beyond the ends."""
-    edge = np.zeros(SIDE, dtype=symbols.dtype)
-    padded = np.concatenate([edge, symbols, edge])
-    offsets = np.concatenate([np.arange(-SIDE, 0), np.arange(1, SIDE + 1)])
-    return padded[places[:, None] + SIDE + offsets]
-
-
 def _by_class(klass: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(klass, kind="stable")
     cuts = np.searchsorted(klass[order], np.arange(CLASSES + 1))
@@ -178,29 +199,77 @@ class Replica:
         outer = np.exp(_log_softmax(hidden @ w["classes"].T + w["class_bias"])) / n
         outer[np.arange(len(target)), klass] -= 1 / n
         back = outer @ w["classes"]
-        for c, rows in _by_class(klass):
-            inner = np.exp(_log_softmax(hidden[rows] @ w["members"][c].T + w["member_bias"][c])) / n
-            inner[np.arange(len(rows)), member[rows]] -= 1 / n
-            back[rows] += inner @ w["members"][c]
-            self._move("members", inner.T @ hidden[rows], c)
-            self._move("member_bias", inner.sum(axis=0), c)
+        # The places of each class side by side, filled up to the largest class with a row of nothing.
+        order = np.argsort(klass, kind="stable")
+        sizes = np.bincount(klass, minlength=CLASSES)
+        row = klass[order]
+        slot = np.arange(len(target)) - (np.cumsum(sizes) - sizes)[row]
+        grid = np.full((CLASSES, sizes.max()), len(target))
+        grid[row, slot] = order
+        placed = np.concatenate([hidden, np.zeros((1, HIDDEN), np.float32)])[grid]
+        inner = placed @ w["members"].transpose(0, 2, 1) + w["member_bias"][:, None, :]
+        inner -= inner.max(axis=2, keepdims=True)
+        np.exp(inner, out=inner)
+        inner /= inner.sum(axis=2, keepdims=True) * n
+        inner[row, slot, member[order]] -= 1 / n
+        inner[grid == len(target)] = 0
+        back[order] += (inner @ w["members"])[row, slot]
+        self._move("members", inner.transpose(0, 2, 1) @ placed)
+        self._move("member_bias", inner.sum(axis=1))
         self._move("classes", outer.T @ hidden)
         self._move("class_bias", outer.sum(axis=0))
         back *= 1 - hidden**2
         lower = (back @ w["hidden"].T).reshape(-1, WIDTH)
         self._move("hidden", x.T @ back)
         self._move("hidden_bias", back.sum(axis=0))
+        # The gradients of one symbol stand together and are summed as a segment.
         flat = near.ravel()
-        embed = np.stack([np.bincount(flat, lower[:, j], SYMBOLS) for j in range(WIDTH)], axis=1)
-        self._move("embed", embed.astype(np.float32))
+        order = np.argsort(flat, kind="stable")
+        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
+        self._move("embed", np.add.reduceat(lower[order], first), flat[order][first])
+
+
+def _mixed(symbols: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(symbols.tobytes(), SEED)
+
+
+def _turns(lengths: np.ndarray, keys: np.ndarray, rounds: int) -> np.ndarray:
+    """The round in which each place of some texts is masked, by a hash of the text and the place."""
+    places = np.arange(lengths.sum(), dtype=np.uint64) - np.repeat(np.cumsum(lengths) - lengths, lengths).astype(np.uint64)
+    mixed = (places + np.repeat(keys, lengths)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed >> np.uint64(32)) % np.uint64(rounds)
 
 
 def _masked(symbols: np.ndarray, key: int, turn: int, rounds: int) -> np.ndarray:
     """The places masked in a round; those of all rounds are disjoint and together all places."""
-    if not len(symbols):
-        return np.empty(0, dtype=np.int64)
-    rng = np.random.default_rng([SEED, key & 0xFFFFFFFF, len(symbols)])
-    return np.flatnonzero(rng.integers(0, rounds, len(symbols)) == turn)
+    return np.flatnonzero(_turns(np.array([len(symbols)]), np.array([key], dtype=np.uint64), rounds) == turn)
+
+
+def _windows(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Some texts in one row with edges between them: the row, the places of all their symbols, their lengths."""
+    edge = np.zeros(SIDE, dtype=np.int16)
+    row = np.concatenate([edge, *(part for text in texts for part in (text, edge))])
+    lengths = np.array([len(text) for text in texts], dtype=np.int64)
+    return row, np.arange(lengths.sum()) + SIDE * (1 + np.repeat(np.arange(len(texts)), lengths)), lengths
+
+
+#: Where the neighbours of a place stand.
+OFFSETS = np.concatenate([np.arange(-SIDE, 0), np.arange(1, SIDE + 1)])
+
+
+def _groups(texts: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Texts up to a number of places; a longer one is alone."""
+    group, held = [], 0
+    for text in texts:
+        if group and held + len(text) > PLACES:
+            yield group
+            group, held = [], 0
+        group.append(text)
+        held += len(text)
+    if group:
+        yield group
 
 
 def _flat(w: dict[str, np.ndarray]) -> np.ndarray:
@@ -217,36 +286,46 @@ def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _train_round(texts: DataFrame, weights: dict[str, np.ndarray], turn: int, rounds: int) -> dict[str, np.ndarray]:
-    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Replica(weights)
-        near, target, held, trained = [], [], 0, 0
-
-        def step() -> int:
-            own.descend(np.concatenate(near), np.concatenate(target))
-            near.clear()
-            target.clear()
-            return 0
+    def replica(texts: list[np.ndarray], own: Replica, left: list[np.ndarray]) -> int:
+        """Train on the masked places of some texts in whole steps; what is left waits for the next ones."""
+        trained = 0
+        for group in _groups(texts):
+            row, places, lengths = _windows(group)
+            keys = np.array([_mixed(text) for text in group], dtype=np.uint64)
+            places = places[_turns(lengths, keys, rounds) == turn]
+            trained += len(places)
+            for at in range(0, len(places), PLACES):
+                part = places[at : at + PLACES]
+                near = np.concatenate([left[0], row[part[:, None] + OFFSETS]])
+                target = np.concatenate([left[1], row[part]])
+                whole = len(target) // STEP * STEP
+                for step in range(0, whole, STEP):
+                    own.descend(near[step : step + STEP], target[step : step + STEP])
+                left[:] = near[whole:], target[whole:]
+        return trained
 
+    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shard, own, left, trained = None, None, None, 0
         for batch in batches:
-            for found in batch["symbols"]:
-                places = _masked(found, xxhash.xxh32_intdigest(found.tobytes()), turn, rounds)
-                for at in range(0, len(places), STEP):
-                    part = places[at : at + STEP]
-                    near.append(contexts(found, part))
-                    target.append(found[part])
-                    held += len(part)
-                    trained += len(part)
-                    if held >= STEP:
-                        held = step()
-        if held:
-            step()
+            for name, rows in batch.groupby("shard", sort=False):
+                if name != shard:
+                    if trained:
+                        yield finished(own, left, trained)
+                    shard, own, trained = name, Replica(weights), 0
+                    left = [np.empty((0, 2 * SIDE), np.int16), np.empty(0, np.int16)]
+                trained += replica(rows["symbols"], own, left)
+        if trained:
+            yield finished(own, left, trained)
+
+    def finished(own: Replica, left: list[np.ndarray], trained: int) -> pd.DataFrame:
+        if len(left[1]):
+            own.descend(*left)
         # A replica counts by the places it was trained on.
         whole = np.rint((_flat(own.w) - _flat(weights)) * SCALE).astype(np.int64)
         slabs = [whole[i : i + SLAB] for i in range(0, len(whole), SLAB)]
-        if trained:
-            yield pd.DataFrame({"slab": range(len(slabs)), "places": trained, "change": [s.tolist() for s in slabs]})
+        return pd.DataFrame({"slab": range(len(slabs)), "places": trained, "change": [s.tolist() for s in slabs]})
 
-    replicas = texts.select("symbols").mapInPandas(train, "slab int, places long, change array<long>")
+    replicas = texts.select("shard", "symbols").mapInPandas(train, "slab int, places long, change array<long>")
     each = replicas.select("slab", "places", F.posexplode("change").alias("at", "change"))
     weighted = F.sum(F.col("change").cast("decimal(38,0)") * F.col("places"))
     mean = each.groupBy("slab", "at").agg((weighted / F.sum("places")).cast("double").alias("change"))
@@ -269,31 +348,23 @@ def pseudo_likelihood(texts: DataFrame, weights: dict[str, np.ndarray]) -> DataF
     """Per row of spelled texts: doc_id, n_words, log_prob (the sum over all words, natural
     logarithm) and per_word (its mean; null for a text without words)."""
 
+    def sums(group: list[np.ndarray]) -> np.ndarray:
+        row, places, lengths = _windows(group)
+        parts = [places[at : at + PLACES] for at in range(0, len(places), PLACES)]
+        found = [log_probabilities(weights, row[part[:, None] + OFFSETS], row[part]) for part in parts]
+        total = np.zeros(len(group))
+        some = lengths > 0
+        if some.any():
+            total[some] = np.add.reduceat(np.concatenate(found), (np.cumsum(lengths) - lengths)[some])
+        return total
+
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = list(batch["symbols"])
-            sums = np.zeros(len(rows))
-            near, target, owner, held = [], [], [], 0
-
-            def settle() -> int:
-                found = log_probabilities(weights, np.concatenate(near), np.concatenate(target))
-                np.add.at(sums, np.concatenate(owner), found)
-                for part in (near, target, owner):
-                    part.clear()
-                return 0
-
-            for i, row in enumerate(rows):
-                for at in range(0, len(row), PLACES):
-                    places = np.arange(at, min(at + PLACES, len(row)))
-                    near.append(contexts(row, places))
-                    target.append(row[places])
-                    owner.append(np.full(len(places), i))
-                    held += len(places)
-                    if held >= PLACES:
-                        held = settle()
-            if held:
-                settle()
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_words": [len(r) for r in rows], "log_prob": sums})
+            rows = batch["symbols"]
+            found = [sums(group) for group in _groups(rows)]
+            lengths = [len(r) for r in rows]
+            log_prob = np.concatenate([np.empty(0), *found]) + batch["parts"].to_numpy(dtype=float)
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_words": lengths, "log_prob": log_prob})
 
     found = texts.mapInPandas(score, "doc_id long, n_words long, log_prob double")
     return found.withColumn("per_word", F.when(F.col("n_words") > 0, F.col("log_prob") / F.col("n_words")))

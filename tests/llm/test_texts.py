@@ -227,3 +227,58 @@ def test_pipeline_on_an_empty_table(spark, data):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, data)
     assert docs.count() == 0
+
+
+def corpus_rows(seed=5, n=300):
+    random.seed(seed)
+    stems = ["".join(random.choice("bcdfghklmnprst") + random.choice("aeiou") for _ in range(3)) for _ in range(1800)]
+    weights = [1 / (i + 3) for i in range(len(stems))]
+    return [(i, " ".join(random.choices(stems, weights, k=random.randint(30, 90)))) for i in range(n)], stems
+
+
+def test_scores_do_not_follow_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHARD_PLACES", 4000)
+    rows, _ = corpus_rows()
+    docs = spark.createDataFrame([*rows, rows[0], (None, None)], "doc_id long, text string")
+    scores = [
+        sorted((r.doc_id or -1, r.log_prob) for r in lm.score_documents(docs.repartition(n)).collect()) for n in (1, 7)
+    ]
+    assert [a for a, _ in scores[0]] == [a for a, _ in scores[1]] and len(scores[0]) == len(rows) + 2
+    assert np.allclose([b for _, b in scores[0]], [b for _, b in scores[1]], atol=1e-3)
+
+
+def test_made_up_words_score_worse_than_rare_ones(spark):
+    rows, stems = corpus_rows()
+    rare = set(stems[900:])
+    shown, spoilt = [], []
+    for i, text in rows[:60]:
+        garbled = ["".join(random.choice("qxzwvj") for _ in w[:-3]) + w[-3:] if w in rare else w for w in text.split()]
+        shown.append((1000 + i, text))
+        spoilt.append((2000 + i, " ".join(garbled)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    vocabulary = lm.learn_vocabulary(docs)
+    weights = lm.train(lm.spelled(docs, vocabulary), vocabulary)
+    found = lm.pseudo_likelihood(lm.spelled(spark.createDataFrame(shown + spoilt, "doc_id long, text string"), vocabulary), weights)
+    score = {r.doc_id: r.log_prob for r in found.collect()}
+    changed = sum(a != b for (_, x), (_, y) in zip(shown, spoilt) for a, b in zip(x.split(), y.split()))
+    lost = sum(score[1000 + i] - score[2000 + i] for i, _ in rows[:60])
+    assert changed > 100 and lost / changed > 1
+
+
+def test_parts_of_a_symbol_add_up(spark, monkeypatch):
+    """The known words of a bucket, its others and one unseen word share its symbol."""
+    rows, _ = corpus_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for known in (1 << 17, 1000):
+        monkeypatch.setattr(lm, "KNOWN", known)
+        found = lm.learn_vocabulary(docs)
+        seen = {w.encode() for _, t in rows for w in t.split()}
+        total = np.zeros(lm.SYMBOLS)
+        for word in seen:
+            places = found.places(word.decode())
+            total[found.symbols[places[0]]] += np.exp(found.parts[places[0]])
+        for bucket in range(lm.SYMBOLS - lm.SHARED, lm.SYMBOLS):
+            total[bucket] += np.exp(found.parts[len(found.symbols) - lm.SYMBOLS + bucket])
+        assert np.allclose(total[lm.SYMBOLS - lm.SHARED :], 1)
+        own = [found.symbol(w) for w in seen if found.symbol(w) < lm.SYMBOLS - lm.SHARED]
+        assert len(own) == len(set(own)) == 767
