@@ -28,3 +28,22 @@ def words(text: Column) -> Column:
 def packed(bucket: Column, rank: Column) -> Column:
     """One integer of a bucket below 2^20 and a rank below 2^40."""
     return F.shiftleft(bucket.cast("long"), 40) + rank
+
+
+def row_marks(df: DataFrame) -> tuple[Column, Column]:
+    """Two hashes over all columns, 128 bits together, by which rows are told apart."""
+    plain = [F.to_json(c) if "map<" in kind or kind == "variant" else F.col(f"`{c}`") for c, kind in df.dtypes]
+    # Hashing leaves out nulls, so the places they stand in are hashed too.
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in df.columns])
+    return F.xxhash64(nulls, *plain), F.xxhash64(F.lit(1), nulls, *reversed(plain))
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``df`` has them (whatever its case)."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        found.append(name)
+    return found

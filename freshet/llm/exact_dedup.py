@@ -132,12 +132,12 @@ def exact_duplicates(docs: DataFrame, block: int = BLOCK, bits: int = 64) -> Dat
 def drop_exact_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. Of rows equal in doc_id and
     text the one whose other columns sort first stays."""
-    kept = exact_duplicates(docs, block).where("kept").select(
-        F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha")
-    )
+    kept = exact_duplicates(docs, block).where("kept").select("doc_id", F.unhex("text_sha256").alias("sha"))
+    kept = kept.select(F.struct("doc_id", "sha").alias("kept"))
     sha = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256))
-    rows = docs.withColumn("__text_sha", sha)
-    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_sha") == F.col("__sha")))
-    others = [F.col(name).cast("string") for name in docs.columns if name not in ("doc_id", "text")]
-    first = F.row_number().over(Window.partitionBy("__id", "__sha").orderBy(*others, "doc_id"))
-    return rows.withColumn("__first", first).where("__first = 1").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("id"), sha.alias("sha"))
+    rows = rows.join(kept, F.col("id").eqNullSafe(F.col("kept.doc_id")) & (F.col("sha") == F.col("kept.sha")))
+    # Rows equal in doc_id and text meet map-side: one of them is left of each task.
+    others = [F.col("row")[name].cast("string") for name in docs.columns if name not in ("doc_id", "text")]
+    first = F.min_by("row", F.struct(F.lit(0).alias("c"), *[o.alias(f"c{i}") for i, o in enumerate(others)]))
+    return rows.groupBy("id", "sha").agg(first.alias("row")).select("row.*")

@@ -181,12 +181,13 @@ def mixed(docs: DataFrame) -> DataFrame:
     Rows that agree in doc_id, source and size share their copies evenly, the first by text first.
     """
     key = ["doc_id", "source", "size"]
-    found = mix(docs).groupBy(*key).agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
-    found = found.where("__copies > 0").select(*(F.col(k).alias(f"__{k}") for k in key), "__copies", "__rows")
-    rows = docs.withColumn("__words", F.size(words(F.col("text"))).cast("long"))
-    same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & F.col("source").eqNullSafe(F.col("__source"))
-    rows = rows.join(found, same & (F.col("__words") == F.col("__size")))
-    nth = F.row_number().over(Window.partitionBy("__doc_id", "__source", "__size").orderBy(F.xxhash64("text")))
-    share_of = F.floor(F.col("__copies") / F.col("__rows")) + (nth <= F.col("__copies") % F.col("__rows")).cast("long")
-    rows = rows.withColumn("__take", share_of.cast("int")).where("__take > 0")
-    return rows.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__take")))).select(*docs.columns)
+    found = mix(docs).groupBy(*key).agg(F.sum("copies").alias("copies"), F.count("*").alias("n"))
+    found = found.where("copies > 0").select(F.struct(*key, "copies", "n").alias("mix"))
+    size = F.size(words(F.col("text"))).cast("long")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), size.alias("size"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("mix.doc_id")) & F.col("row.source").eqNullSafe(F.col("mix.source"))
+    rows = rows.join(found, same & (F.col("size") == F.col("mix.size")))
+    nth = F.row_number().over(Window.partitionBy("mix.doc_id", "mix.source", "mix.size").orderBy(F.xxhash64("row.text")))
+    share_of = F.floor(F.col("mix.copies") / F.col("mix.n")) + (nth <= F.col("mix.copies") % F.col("mix.n")).cast("long")
+    rows = rows.withColumn("take", share_of.cast("int")).where("take > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("take")))).select("row.*")

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from freshet.llm.base import saved
+from freshet.llm.base import row_marks, saved
 from freshet.llm.components import components
 
 #: Words per shingle and the largest number of differing bits of a link.
@@ -235,6 +235,13 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     return found.where("not crowded").select("a", "b").unionByName(finest.select("a", "b"))
 
 
+def _rooted(fps: DataFrame, crowd: int) -> DataFrame:
+    """Distinct fingerprints (column fp and others) with the root of their component, a fingerprint."""
+    roots = components(links(fps.select("fp"), crowd))
+    joined = fps.join(roots, fps["fp"] == roots["node"], "left")
+    return saved(joined.select(*fps.columns, F.coalesce("root", "fp").alias("root")), "fingerprint-roots")
+
+
 def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Per row of ``docs`` (doc_id, text; other columns are ignored): doc_id, fingerprint
     (16 hex digits) and component_id, the smallest doc_id that can be reached over links.
@@ -244,10 +251,7 @@ def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     has a doc_id. Repeated rows are kept, each with the same values.
     """
     rows = saved(docs.select("doc_id", fingerprints(F.col("text")).alias("fp")), "fingerprints")
-    fps = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    roots = components(links(fps.select("fp"), crowd))
-    joined = fps.join(roots, fps["fp"] == roots["node"], "left")
-    rooted = saved(joined.select("fp", "least", F.coalesce("root", "fp").alias("root")), "fingerprint-roots")
+    rooted = _rooted(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), crowd)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = rooted.join(least, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select(
@@ -255,17 +259,18 @@ def near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     )
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with the smallest doc_id
-    (all rows, should several repeat that doc_id, have it; the first by its columns stays)."""
-    found = near_duplicates(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("__id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")))
-    return _first_of_each(rows, docs.columns)
+def drop_near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one of each component of linked fingerprints.
 
-
-def _first_of_each(rows: DataFrame, columns: list[str]) -> DataFrame:
-    order = [F.xxhash64("text"), *(F.col(name).cast("string") for name in columns if name not in ("doc_id", "text"))]
-    first = F.row_number().over(Window.partitionBy("__id").orderBy(*order))
-    return rows.withColumn("__first", first).where("__first = 1").select(*columns)
+    It is the row with the smallest doc_id; rows without one come last, and of several rows with that
+    doc_id a hash of their columns decides. Ids do not link: rows without doc_id, or that share one, go only
+    where their fingerprints are linked. Components and choices are made on hashes; texts are joined to them once.
+    """
+    first, second = row_marks(docs)
+    found = docs.select("doc_id", fingerprints(F.col("text")).alias("fp"), first.alias("m0"), second.alias("m1"))
+    choice = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "m0", "m1"))
+    rooted = _rooted(found.groupBy("fp").agg(choice.alias("choice")), crowd)
+    kept = rooted.groupBy("root").agg(F.min("choice").alias("choice")).select("choice.m0", "choice.m1")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), first.alias("m0"), second.alias("m1")).join(kept, ["m0", "m1"])
+    # Only rows equal in all columns have the same marks: one of them stays.
+    return rows.groupBy("m0", "m1").agg(F.first("row").alias("row")).select("row.*")

@@ -147,3 +147,44 @@ def test_fingerprint_column(spark):
 def test_exact_query_equals_its_sql(spark, con, data):
     good, text = compare(spark, con, "op3_exact_dedup", data)
     assert good, text
+
+
+def test_near_stage_loses_no_other_text(spark):
+    """Rows without an id, and different texts of one id, go only where they are linked."""
+    words = "one two three four five six seven eight nine ten".split()
+    texts = [" ".join(random.Random(i).choices(words, k=40)) for i in range(7)]
+    rows = [(None, t) for t in texts[:5]] + [(8, texts[5]), (8, texts[6]), (8, texts[6])]
+    df = spark.createDataFrame([(i, t, "x", 1, {"k": i}) for i, t in rows], "doc_id long, text string, __id string, row int, m0 map<string,long>")
+    kept = simhash.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    assert sorted(r.text for r in kept.collect()) == sorted(texts)
+    linked = df.unionByName(df.limit(0)).unionByName(df.where("text is not null").withColumn("doc_id", F.lit(3).cast("long")).limit(1))
+    assert simhash.drop_near_duplicates(linked).count() == len(texts)
+
+
+def test_near_stage_against_a_plain_version(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    roots = plain_components([plain_fingerprint(t) for _, t in rows])
+    want = sorted(rows[i][0] for i in set(roots))
+    assert sorted(r.doc_id for r in simhash.drop_near_duplicates(docs).collect()) == want
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    from freshet.llm.mixing import mixed
+    from freshet.llm.quality import statistics
+
+    rows = [(1, "a b c", "s", 9, 9, 9, 9), (1, "a b c", "s", 9, 9, 9, 9), (2, "d e f", "s", 9, 9, 9, 9), (None, None, None, 9, 9, 9, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, __first int, __take int, __w int, mix int")
+    assert exact_dedup.drop_exact_duplicates(df).count() == 3
+    for found in (exact_dedup.drop_exact_duplicates(df), simhash.drop_near_duplicates(df), mixed(df), statistics(df)):
+        assert found.columns[: len(df.columns)] == df.columns
+        assert {tuple(r[3:7]) for r in found.collect()} <= {(9, 9, 9, 9)}
+
+
+def test_stages_with_empty_tables(spark):
+    from freshet.llm.mixing import mixed
+
+    empty = docs_of(spark, []).withColumn("source", F.lit("s"))
+    for stage in (exact_dedup.drop_exact_duplicates, simhash.drop_near_duplicates, mixed):
+        assert stage(empty).collect() == []
