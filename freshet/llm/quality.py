@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.base import words
+from freshet.llm.base import free_names, words
 
 #: Bound of the training sample: labelled rows, those with the smallest hashes of doc_id.
 SAMPLE = 12_000
@@ -55,32 +55,33 @@ def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     Windows are told apart by 64-bit hashes. No text is exploded or shuffled: arrays are sorted
     inside the row, so a text of n words costs n log n.
     """
+    w, lines_of, h, ordered, at_of = free_names(docs, "__w", "__lines", "__h", "__sorted", "__at")
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda line: line.rlike(r"[^ \t\n\x0B\f\r]"))
-    rows = docs.withColumns({"__w": words(F.col(text)), "__lines": lines})
-    rows = rows.withColumn("__h", _repeat_words(F.col("__w")))
+    rows = docs.withColumns({w: words(F.col(text)), lines_of: lines})
+    rows = rows.withColumn(h, _repeat_words(F.col(w)))
     # Only texts with an equal pair of windows need their places.
-    repeats = F.size("__h") > F.size(F.array_distinct("__h"))
-    placed = F.transform("__h", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    rows = rows.withColumn("__sorted", F.when(repeats, F.sort_array(placed)))
-    s = F.col("__sorted")
+    repeats = F.size(h) > F.size(F.array_distinct(h))
+    placed = F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i")))
+    rows = rows.withColumn(ordered, F.when(repeats, F.sort_array(placed)))
+    s = F.col(ordered)
     twice = F.filter(s, lambda x, i: (x.h == F.get(s, i - 1).h) | (x.h == F.get(s, i + 1).h))
     # Generated, not projected: a filter on the result must not be pushed into the lambda below.
-    rows = rows.withColumn("__at", F.explode(F.array(F.sort_array(F.transform(twice, lambda x: x.i)))))
-    at = F.col("__at")
+    rows = rows.withColumn(at_of, F.explode(F.array(F.sort_array(F.transform(twice, lambda x: x.i)))))
+    at = F.col(at_of)
     # A place adds up to three words, fewer where the next place comes sooner.
     added = F.transform(at, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(at, i + 1) - x, F.lit(3))))
     new = {
-        "n_words": F.size("__w").cast("long"),
-        "word_chars": F.length(F.array_join("__w", "")).cast("long"),
+        "n_words": F.size(w).cast("long"),
+        "word_chars": F.length(F.array_join(w, "")).cast("long"),
         "n_symbols": F.length(F.regexp_replace(whole, r"[^#*$%&|<>]+", "")).cast("long"),
-        "n_dup_lines": (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
+        "n_dup_lines": (F.size(lines_of) - F.size(F.array_distinct(lines_of))).cast("long"),
         "n_repeat_words": F.coalesce(F.aggregate(added, F.lit(0), lambda a, x: a + x), F.lit(0)).cast("long"),
-        "n_lines": F.size("__lines").cast("long"),
-        "n_distinct": F.size(F.array_distinct("__w")).cast("long"),
+        "n_lines": F.size(lines_of).cast("long"),
+        "n_distinct": F.size(F.array_distinct(w)).cast("long"),
         "n_sentence_ends": F.length(F.regexp_replace(whole, r"[^.!?]+", "")).cast("long"),
     }
-    return rows.withColumns(new).drop("__w", "__lines", "__h", "__sorted", "__at")
+    return rows.withColumns(new).drop(w, lines_of, h, ordered, at_of)
 
 
 def base_failed() -> Column:
@@ -189,7 +190,8 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE)
     rows = rows.where(~base_failed())
     numbers = {name: make() for name, make in STATISTICS.items()}
     rows = rows.select("doc_id", (1 - F.col("__quality")).cast("int").alias("bad"), *(v.alias(k) for k, v in numbers.items()))
-    return [row.asDict() for row in rows.orderBy(F.xxhash64("doc_id", F.lit(7)), *numbers).collect()]
+    # An id may stand on many rows: what is collected is bounded by rows.
+    return [row.asDict() for row in rows.orderBy(F.xxhash64("doc_id", F.lit(7)), *numbers).limit(bound).collect()]
 
 
 def verdict(rules: list[Rule]) -> tuple[Column, Column]:
