@@ -16,6 +16,7 @@ from freshet.catalog import windows as batch_win
 from freshet.functions.times import utc_wall_clock
 from freshet.operators.state import count_map_text
 from freshet.plans.scratch import fresh_folder
+from freshet.sinks import committed
 from freshet.sources import events as src
 from freshet.sources.schemas import EVENT_STREAM
 from freshet.streaming import batches, ordered
@@ -156,7 +157,18 @@ def stream_late_events(spark: SparkSession, folder: str) -> DataFrame:
     return _shown(spark.read.parquet(f"{path}/late").select("event_id", "ts"))
 
 
+def sink_committed(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that every fifteenth number names, through a sink that opens and closes per task and commits per batch."""
+    path = fresh_folder(spark, "sink-committed")
+    chosen = _arrivals(spark, folder, None).where("event_id % 15 = 0")
+    committed.text_stream(chosen, F.col("event_id"), f"{path}/data", f"{path}/checkpoint").trigger(
+        availableNow=True
+    ).start().awaitTermination()
+    return committed.committed_text(spark, f"{path}/data")
+
+
 QUERIES = {
+    "sink_committed": sink_committed,
     "stream_ordered_value": stream_ordered_value,
     "stream_ordered_sum": stream_ordered_sum,
     "stream_state_list": stream_state_list,
@@ -185,6 +197,7 @@ def _passed(sql: str, key: str = "event_id", types: str = "") -> str:
 _CHANGES = "WHERE event_type IN ('purchase', 'signup')"
 
 SQL = {
+    "sink_committed": "SELECT CAST(event_id AS VARCHAR) AS value FROM events WHERE event_id % 15 = 0",
     "stream_ordered_value": _passed(batch_state.SQL["state_value"]),
     "stream_ordered_sum": _passed(
         """SELECT event_id, user_id, CAST(sum(event_id) OVER (

@@ -156,8 +156,10 @@ def _window_firings(spark: SparkSession, folder: str, label: str, purge: bool) -
         firing = (F.col("n") / every).cast("bigint").alias("firing")
         return rows.where(F.col("n") % every == 0).select(*keys, firing, n.alias("n"))
 
-    counts = {"n": F.lit(True)}
-    return _batched(spark, windowed, label, lambda path: batches.running_counts(path, keys, ORDER, counts, fired))
+    counts, closing = {"n": F.lit(True)}, batches.Closing("window_end", "ts", DELAY)
+    return _batched(
+        spark, windowed, label, lambda path: batches.running_counts(path, keys, ORDER, counts, fired, closing=closing)
+    )
 
 
 def stream_count_trigger(spark: SparkSession, folder: str) -> DataFrame:

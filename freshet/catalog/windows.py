@@ -46,6 +46,14 @@ def late_events(spark: SparkSession, folder: str) -> DataFrame:
     return win.late_rows(df, "ts", ["arrival_ts", "event_id"], "1 hour").select("event_id", "ts")
 
 
+def window_median_gap(spark: SparkSession, folder: str) -> DataFrame:
+    """The median time between a user's events of a day: a function over all rows of a window, in order."""
+    df = src.events(spark, folder).select("event_id", "ts", "user_id")
+    output = "user_id bigint, window_start timestamp_ntz, window_end timestamp_ntz, n bigint, median_gap double"
+    names = ["user_id", "window_start", "window_end"]
+    return win.apply_in_order(df, "ts", "1 day", win.median_gap("ts", names), output, ORDER, ["user_id"])
+
+
 def global_count_trigger(spark: SparkSession, folder: str) -> DataFrame:
     return win.count_trigger(src.events(spark, folder), [], ORDER, 10, {"signups": _is_signup()})
 
@@ -108,6 +116,7 @@ QUERIES = {
     "session_by_user": session_by_user,
     "tumble_ingest": tumble_ingest,
     "late_events": late_events,
+    "window_median_gap": window_median_gap,
     "global_count_trigger": global_count_trigger,
     "count_trigger": count_trigger,
     "purging_trigger": purging_trigger,
@@ -161,6 +170,12 @@ SQL = {
             SELECT *, max(ts) OVER (ORDER BY arrival_ts, event_id
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
             FROM ({_ARRIVED})) WHERE ts < newest - INTERVAL 1 HOUR""",
+    "window_median_gap": """
+        SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+               count(*) AS n, median(gap) / 1e6 AS median_gap
+        FROM (SELECT *, epoch_us(ts) - lag(epoch_us(ts)) OVER (
+                  PARTITION BY user_id, date_trunc('day', ts) ORDER BY ts, event_id) AS gap FROM events)
+        GROUP BY 1, 2, 3""",
     "global_count_trigger": """
         SELECT CAST(rn // 10 AS BIGINT) AS firing, rn AS n, signups FROM (
             SELECT row_number() OVER w AS rn, count(*) FILTER (event_type = 'signup') OVER w AS signups
