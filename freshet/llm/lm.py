@@ -24,7 +24,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from freshet.llm.base import saved, words
@@ -61,12 +61,19 @@ def _bucket(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word[-3:], 42) % SHARED
 
 
+class Places(dict):
+    """Places by word in UTF-8; a word that is not known has its bucket's, after all others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return len(self) + _bucket(word)
+
+
 @dataclass
 class Vocabulary:
-    """What is known of words in UTF-8: the ``KNOWN`` most frequent have a place, the others share one by bucket."""
+    """What is known of words: up to ``KNOWN`` frequent ones have a place, the others share one by bucket."""
 
-    place: dict[bytes, int]
-    #: Symbol, and logarithm of the word's part in it, by place; the buckets' places come last.
+    place: Places
+    #: Symbol, and logarithm of the word's part in it, by place.
     symbols: np.ndarray
     parts: np.ndarray
     #: Occurrences of each symbol in the corpus.
@@ -74,14 +81,23 @@ class Vocabulary:
 
     def places(self, text: str | None) -> np.ndarray:
         found = (text or "").lower().encode("utf-8", "surrogatepass").split()  # bytes split at ASCII white space only
-        get, buckets = self.place.get, len(self.symbols) - SHARED
-        return np.fromiter(
-            (p if (p := get(word)) is not None else buckets + _bucket(word) for word in found), dtype=np.int32, count=len(found)
-        )
+        return np.fromiter(map(self.place.__getitem__, found), dtype=np.int32, count=len(found))
 
     def symbol(self, word: bytes) -> int:
-        found = self.place.get(word)
-        return int(self.symbols[len(self.symbols) - SHARED + _bucket(word) if found is None else found])
+        return int(self.symbols[self.place[word]])
+
+
+def _frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    """The words that occur more often than some number, the smallest that no more than ``most`` exceed, in
+    order; but at least those that are symbols of their own. Few numbers occur, so that they are found by a small table."""
+    kinds = counts.groupBy("n").agg(F.count("*").alias("kinds"))
+    upto = Window.orderBy(F.col("n").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    least = kinds.withColumn("all", F.sum("kinds").over(upto)).where(F.col("all") <= most).agg(F.min("n")).first()[0]
+    first = counts.orderBy(F.col("n").desc(), "word").limit(SYMBOLS - SHARED - 1).collect()
+    rows = {row.word.encode(): row.n for row in first}
+    if least is not None:
+        rows |= {row.word.encode(): row.n for row in counts.where(F.col("n") >= least).collect()}
+    return sorted(rows.items(), key=lambda row: (-row[1], row[0]))
 
 
 def spelled(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -114,7 +130,7 @@ def learn_vocabulary(docs: DataFrame) -> Vocabulary:
     text = F.lower(F.coalesce("text", F.lit("")))
     counts = docs.select(F.explode(words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     counts = saved(counts, "word-counts")
-    known = [(row.word.encode(), row.n) for row in counts.orderBy(F.col("n").desc(), "word").limit(KNOWN).collect()]
+    known = _frequent(counts, KNOWN)
     own = SYMBOLS - SHARED - 1
     # The same hash as _bucket, over all words; those with symbols of their own, and known ones, are taken off again.
     shared = F.pmod(F.xxhash64(F.substring(F.col("word").cast("binary"), -3, 3)), F.lit(SHARED))
@@ -140,7 +156,7 @@ def learn_vocabulary(docs: DataFrame) -> Vocabulary:
         rest_times[bucket] -= n
         rest_kinds[bucket] -= 1
     parts[len(known) :] = np.log((rest_times / (rest_kinds + 1) + ADDED) / whole)
-    return Vocabulary({word: at for at, (word, _) in enumerate(known)}, symbols, parts, seen)
+    return Vocabulary(Places((word, at) for at, (word, _) in enumerate(known)), symbols, parts, seen)
 
 
 def first_weights(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
@@ -160,22 +176,30 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _by_class(klass: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def _by_class(klass: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """The order of places by class, and where each class that occurs stands in it."""
     order = np.argsort(klass, kind="stable")
-    cuts = np.searchsorted(klass[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if cuts[c] < cuts[c + 1]:
-            yield c, order[cuts[c] : cuts[c + 1]]
+    ends = np.cumsum(np.bincount(klass, minlength=CLASSES)).tolist()
+    return order, [(c, slice(a, b)) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+
+
+def _inner(w: dict[str, np.ndarray], hidden: np.ndarray, klass: np.ndarray, spans: list[tuple[int, slice]]) -> np.ndarray:
+    """Log-probabilities of the members of each place's class, places in the order of classes."""
+    out = np.empty((len(hidden), MEMBERS), dtype=np.float32)
+    for c, span in spans:
+        np.matmul(hidden[span], w["members"][c].T, out=out[span])
+    out += w["member_bias"][klass]
+    return _log_softmax(out)
 
 
 def log_probabilities(w: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Of each target symbol given its neighbours."""
     hidden = np.tanh(w["embed"][near].reshape(len(near), -1) @ w["hidden"] + w["hidden_bias"])
     klass, member = target % CLASSES, target // CLASSES
-    out = _log_softmax(hidden @ w["classes"].T + w["class_bias"])[np.arange(len(target)), klass].astype(np.float64)
-    for c, rows in _by_class(klass):
-        inner = _log_softmax(hidden[rows] @ w["members"][c].T + w["member_bias"][c])
-        out[rows] += inner[np.arange(len(rows)), member[rows]]
+    every = np.arange(len(target))
+    out = _log_softmax(hidden @ w["classes"].T + w["class_bias"])[every, klass].astype(np.float64)
+    order, spans = _by_class(klass)
+    out[order] += _inner(w, hidden[order], klass[order], spans)[every, member[order]]
     return out
 
 
@@ -199,23 +223,24 @@ class Replica:
         outer = np.exp(_log_softmax(hidden @ w["classes"].T + w["class_bias"])) / n
         outer[np.arange(len(target)), klass] -= 1 / n
         back = outer @ w["classes"]
-        # The places of each class side by side, filled up to the largest class with a row of nothing.
-        order = np.argsort(klass, kind="stable")
-        sizes = np.bincount(klass, minlength=CLASSES)
-        row = klass[order]
-        slot = np.arange(len(target)) - (np.cumsum(sizes) - sizes)[row]
-        grid = np.full((CLASSES, sizes.max()), len(target))
-        grid[row, slot] = order
-        placed = np.concatenate([hidden, np.zeros((1, HIDDEN), np.float32)])[grid]
-        inner = placed @ w["members"].transpose(0, 2, 1) + w["member_bias"][:, None, :]
-        inner -= inner.max(axis=2, keepdims=True)
+        # Places in the order of their classes, so that only the products are taken class by class.
+        order, spans = _by_class(klass)
+        placed = hidden[order]
+        inner = _inner(w, placed, klass[order], spans)
         np.exp(inner, out=inner)
-        inner /= inner.sum(axis=2, keepdims=True) * n
-        inner[row, slot, member[order]] -= 1 / n
-        inner[grid == len(target)] = 0
-        back[order] += (inner @ w["members"])[row, slot]
-        self._move("members", inner.transpose(0, 2, 1) @ placed)
-        self._move("member_bias", inner.sum(axis=1))
+        inner /= n
+        inner[np.arange(len(target)), member[order]] -= 1 / n
+        lifted = np.empty_like(placed)
+        change = np.zeros_like(w["members"])
+        for c, span in spans:
+            np.matmul(inner[span], w["members"][c], out=lifted[span])
+            np.matmul(inner[span].T, placed[span], out=change[c])
+        back[order] += lifted
+        first = [span.start for _, span in spans]
+        bias = np.zeros_like(w["member_bias"])
+        bias[[c for c, _ in spans]] = np.add.reduceat(inner, first)
+        self._move("members", change)
+        self._move("member_bias", bias)
         self._move("classes", outer.T @ hidden)
         self._move("class_bias", outer.sum(axis=0))
         back *= 1 - hidden**2
