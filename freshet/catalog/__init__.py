@@ -1,8 +1,8 @@
 """The registered queries and, for each, the same result in plain SQL."""
 
-from freshet.catalog import multi, ordered, rows, state, streams, windows
+from freshet.catalog import multi, ordered, outlets, rows, state, streams, windows
 
-MODULES = (rows, windows, state, multi, streams, ordered)
+MODULES = (rows, windows, state, multi, streams, ordered, outlets)
 
 
 def all_queries() -> dict:

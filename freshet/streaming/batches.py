@@ -105,17 +105,19 @@ def running_counts(
     closing: Closing | None = None,
     compact: int = 32,
     buckets: int = 64,
+    sums: Mapping[str, Column] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Conditional counts so far, per key or over the whole stream, on every row.
+    """Conditional counts, and sums of integer columns, so far, per key or over the whole stream, on every row.
 
     Writes ``path/rows/batch_id=N`` and the totals of the batch's keys; ``finish``
     is applied before the rows are written (a filter, a ratio). A condition of
-    ``lit(True)`` counts rows. What a batch writes follows its own keys; totals of all keys are put together
-    every ``compact`` batches. With ``closing`` keys that are over, such as past windows, are forgotten then, and rows
+    ``lit(True)`` counts rows; a sum is null before its first value. A key may hold any share of the rows. What
+    a batch writes follows its own keys; totals of all keys are put together every ``compact`` batches. With ``closing`` keys that are over, such as past windows, are forgotten then, and rows
     that come for a key after its end plus the delay has passed are dropped as late.
     """
-    ones = {name: f"__one_{name}" for name in counts}
-    store = _Totals(path, keys, list(counts), compact, buckets)
+    values = {name: F.when(c, 1).otherwise(0) for name, c in counts.items()} | dict(sums or {})
+    ones = {name: f"__one_{name}" for name in values}
+    store = _Totals(path, keys, list(values), compact, buckets)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # The batch is read for totals, for slots and for rows: fetch it from the source once.
@@ -146,7 +148,7 @@ def running_counts(
         batch, over = newest(batch, batch_id)
         rows = batch.select(
             "*",
-            *[F.when(c, 1).otherwise(0).cast("bigint").alias(ones[n]) for n, c in counts.items()],
+            *[c.cast("bigint").alias(ones[n]) for n, c in values.items()],
             F.lit(False).alias("__carried"),
         )
         known = store.known(batch, batch_id)
@@ -155,17 +157,17 @@ def running_counts(
             # Earlier totals of the batch's keys enter as rows without a time, which come first in the order.
             at = [r[0] for r in rows.select(store.bucket().alias("b")).distinct().collect()] if keys else [0]
             before = store.latest(store.of_keys(known.where(F.col("__bucket").isin(at)), touched))
-            before = before.select(*keys, *[F.col(n).alias(ones[n]) for n in counts], F.lit(True).alias("__carried"))
+            before = before.select(*keys, *[F.col(n).alias(ones[n]) for n in values], F.lit(True).alias("__carried"))
             rows = rows.unionByName(before, allowMissingColumns=True)
-        totals = rows.groupBy(*keys).agg(*[F.sum(ones[n]).alias(n) for n in counts])
+        totals = rows.groupBy(*keys).agg(*[F.sum(ones[n]).alias(n) for n in values])
         if known is not None and batch_id % compact == 0:
             others = store.latest(known)
             totals = totals.unionByName(store.of_keys(others, touched, anti=True))
             if over is not None:
                 totals = totals.where(F.col(closing.end).isNull() | (F.col(closing.end) > over))
         store.write(totals, batch_id)
-        counted = running(rows, keys, order, {n: total(F.col(ones[n])) for n in counts}, slot_rows=slot_rows)
-        counted = counted.where(~F.col("__carried")).select(*names, *counts)
+        counted = running(rows, keys, order, {n: total(F.col(ones[n])) for n in values}, slot_rows=slot_rows)
+        counted = counted.where(~F.col("__carried")).select(*names, *values)
         (finish(counted) if finish else counted).write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
         # Batches before this one are committed: none of them asks for what lies before the last whole version.
         gone = store.whole_before(batch_id) - 1 if batch_id else -1

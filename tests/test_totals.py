@@ -84,3 +84,17 @@ def test_first_batch_may_be_empty(spark):
     write(table, 1)
     got = spark.read.parquet(f"{path}/rows/batch_id=1").select("event_id", "n")
     assert rows_of(got) == rows_of(batch_state.count_so_far(table, ["user_id"], ORDER).select("event_id", "n"))
+
+
+def test_sums_are_carried_and_a_key_may_be_hot(spark):
+    rows = [(i, BASE + timedelta(seconds=i), 1 if i % 10 else None, None if i % 4 == 0 or i < 40 else (1 << 53) + i) for i in range(200)]
+    table = spark.createDataFrame(rows, FEW + ", amount bigint")
+    path = fresh_folder(spark, "sums")
+    is_odd = F.col("event_id") % 2 == 1
+    write = batches.running_counts(path, ["user_id"], ORDER, {"odd": is_odd}, slot_rows=10, sums={"total": F.col("amount")})
+    for part in range(5):
+        write(table.where(F.floor(F.col("event_id") / 40) == part), part)
+    got = spark.read.parquet(f"{path}/rows").select("event_id", "odd", "total")
+    want = batch_state.reduce_running(table, ["user_id"], ORDER, "amount")
+    assert rows_of(got.select("event_id", "total")) == rows_of(want.select("event_id", "total"))
+    assert got.where("event_id = 199").first()["odd"] == 100
