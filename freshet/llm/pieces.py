@@ -38,6 +38,8 @@ MARK = "▁"
 BASE = 0x9E3779B97F4A7C15 | 1
 #: Distinct words a task remembers, words encoded at once and cells of one matrix.
 REMEMBERED, CELLS = 400_000, 1 << 21
+#: Characters of a word above which it is cut where no piece can go across.
+LONG = 40
 #: Leading bits of the piece hashes that are kept as a bitmap.
 TOP = 20
 FAR = 1 << 40
@@ -61,6 +63,8 @@ class Pieces:
         self.path_scores = np.append(self.scores, self.scores.min() - 10.0)
         self.word = re.compile(r"\n| *[^ \n]+| +" if not any("\n" in p for p in pieces) else r" *[^ ]+| +")
         self.longest = max(len(pieces[i]) for i in usable)
+        pairs = {ord(a) << 21 | ord(b) for i in usable for a, b in zip(pieces[i], pieces[i][1:])}
+        self.pairs = np.array(sorted(pairs) or [NONE], dtype=np.int64)
         hashes = np.array([_hash_of([ord(c) for c in pieces[i]]) for i in usable], dtype=np.uint64)
         order = np.argsort(hashes)
         self.keys, self.ids = hashes[order], np.array(usable, dtype=np.int64)[order]
@@ -111,6 +115,15 @@ class Pieces:
                 self.time[i] = max(self.rank[i], self.time[self.left[i]], self.time[self.right[i]])
         self.known, self.pieces, self.settled = known, pieces, {}
 
+    def cut(self, word: str) -> list[str]:
+        """The parts of a word between characters that stand side by side in no piece; none goes across, so
+        the parts' ids in order are the word's. Needs byte pieces: unknown characters are one piece otherwise."""
+        codes = np.frombuffer(word.replace(" ", MARK).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
+        pair = codes[:-1] << 21 | codes[1:]
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        ends = (np.flatnonzero(self.pairs[at] != pair) + 1).tolist()
+        return [word[a:b] for a, b in zip([0, *ends], [*ends, len(word)])]
+
     def _merge_two(self, left: int, right: int) -> bool:
         """The test of ``neighbours`` by merging."""
         found = self.settled.get((left, right))
@@ -266,10 +279,40 @@ def merged(symbols: list[str], known: dict[str, int], scores) -> tuple[list[str]
         symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
 
 
+def _fields(blob: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """(number, value) of the fields of a protocol buffer message: whole numbers, or bytes."""
+
+    def number(at: int) -> tuple[int, int]:
+        value = shift = 0
+        while True:
+            value |= (blob[at] & 0x7F) << shift
+            shift, at = shift + 7, at + 1
+            if blob[at - 1] < 0x80:
+                return value, at
+
+    at = 0
+    while at < len(blob):
+        tag, at = number(at)
+        if tag & 7 == 0:
+            value, at = number(at)
+        else:
+            size, at = number(at) if tag & 7 == 2 else ({1: 8, 5: 4}[tag & 7], at)
+            value, at = blob[at : at + size], at + size
+        yield tag >> 3, value
+
+
+# Fixed values of the model format: its type, and the fields that say how text is changed before.
+UNIGRAM, BPE = 1, 2
+TRAINER, NORMALIZER = 2, 3
+MODEL_TYPE = 3
+CHARS_MAP, DUMMY_PREFIX, REMOVE_BLANKS, ESCAPE_BLANKS = 2, 3, 4, 5
+
+
 def load_pieces(path: str) -> Pieces:
     """Tables of a model file; read on the driver, a few MB that travel with the tasks.
 
-    Models that normalise text, or that cut at places this module does not, are refused.
+    The type, BPE or unigram, is read from the file. Other types, models that normalise text, and those that
+    cut at places this module does not, are refused.
     """
     import sentencepiece
 
@@ -281,9 +324,20 @@ def load_pieces(path: str) -> Pieces:
     if crossing:
         raise ValueError(f"pieces with white space inside: {crossing[:3]}")
     byte_ids = {int(pieces[i][3:5], 16): i for i in everything if model.is_byte(i)}
-    if model.encode("ﬁ  x", out_type=str) != model.encode("ﬁ  x", out_type=str) or "ﬁ" not in model.decode(model.encode("ﬁ")):
+    bpe, dummy_prefix = read_kind(model.serialized_model_proto())
+    return Pieces(pieces, [model.get_score(i) for i in everything], byte_ids, model.unk_id(), bpe, usable, dummy_prefix)
+
+
+def read_kind(blob: bytes) -> tuple[bool, bool]:
+    """(of the BPE type, puts a blank in front) of a serialised model; refuses what this module does not serve."""
+    specs = {name: value for name, value in _fields(blob) if name in (TRAINER, NORMALIZER)}
+    kind = dict(_fields(specs.get(TRAINER, b""))).get(MODEL_TYPE, UNIGRAM)
+    if kind not in (UNIGRAM, BPE):
+        raise ValueError(f"a model of type {kind} is neither unigram nor BPE")
+    changes = dict(_fields(specs.get(NORMALIZER, b"")))
+    if changes.get(CHARS_MAP) or changes.get(REMOVE_BLANKS, 1) or not changes.get(ESCAPE_BLANKS, 1):
         raise ValueError("the model normalises its text")
-    return Pieces(pieces, [model.get_score(i) for i in everything], byte_ids, model.unk_id(), True, usable)
+    return kind == BPE, bool(changes.get(DUMMY_PREFIX, 1))
 
 
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -320,12 +374,16 @@ class Encoder:
         if len(self.number) > REMEMBERED:
             self._forget()
         front = " " if self.pieces.dummy_prefix else ""
-        words_of, number_of = self.pieces.word.findall, self.number.__getitem__
+        words_of, number_of, cut = self.pieces.word.findall, self.number.__getitem__, self.pieces.cut
         numbers, offsets = array("q"), [0]
         for text in texts:
             if text:
                 # A mark in the text is a blank to the model.
-                numbers.extend(map(number_of, words_of(front + text.replace(MARK, " "))))
+                words = words_of(front + text.replace(MARK, " "))
+                if self.pieces.has_bytes and max(map(len, words)) > LONG:
+                    # Scripts without blanks: a line is one word, and hardly any word comes twice.
+                    words = [part for word in words for part in (cut(word) if len(word) > LONG else (word,))]
+                numbers.extend(map(number_of, words))
             offsets.append(len(numbers))
         if self.number.fresh:
             flat, sizes = self.pieces.encode_words([w.replace(" ", MARK) for w in self.number.fresh])

@@ -109,3 +109,42 @@ def test_merging_by_rank_against_plain_merging():
     flat, sizes = tables.encode_words(words)
     got = [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])]
     assert got == [[known[s] for s in P.merged(list(w), known, tables.scores)[0]] for w in words]
+
+
+def test_unspaced_text_is_cut_between_pieces():
+    import time
+
+    import sentencepiece
+
+    pieces, model = P.load_pieces(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    rng = random.Random(9)
+    han = "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(20_000))
+    few = "".join(rng.choice("的一是不了人我在有他这中大来上国") for _ in range(2_000))
+    latin = "".join(rng.choice("abcdefghij") for _ in range(300))
+    emoji = "".join(chr(rng.randrange(0x1F600, 0x1F640)) for _ in range(200))
+    texts = [han, few, f"x {few} y\n{latin}", latin * 2, emoji + few, few + latin + emoji, f"  {han[:99]}  ", "▁" * 90 + few]
+    P.Encoder(pieces).encode(["warm up " + few])
+    for text in texts:
+        ids, _ = P.Encoder(pieces).encode([text])
+        assert ids.tolist() == model.encode(text.replace("▁", " "))
+    encoder, started = P.Encoder(pieces), time.process_time()
+    encoder.encode([han])
+    assert time.process_time() - started < 0.3
+
+
+def _message(*fields):
+    """A protocol buffer message of small numbers and short byte strings."""
+    return b"".join(
+        bytes([number << 3, value]) if isinstance(value, int) else bytes([number << 3 | 2, len(value)]) + value for number, value in fields
+    )
+
+
+def test_the_model_type_is_read_from_the_file():
+    plain = (4, 0)
+    assert P.read_kind(_message((2, _message((3, 2))), (3, _message(plain)))) == (True, True)
+    assert P.read_kind(_message((2, _message((3, 1))), (3, _message(plain, (3, 0))))) == (False, False)
+    assert P.read_kind(_message((3, _message(plain)))) == (False, True)
+    for broken in ([(2, _message((3, 4))), (3, _message(plain))], [(3, _message(plain, (2, b"map")))], [(3, _message())]):
+        with pytest.raises(ValueError):
+            P.read_kind(_message(*broken))
+    assert P.load_pieces(PIECES).bpe
