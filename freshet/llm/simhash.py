@@ -269,7 +269,8 @@ def drop_near_duplicates(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     first, second = row_marks(docs)
     found = docs.select("doc_id", fingerprints(F.col("text")).alias("fp"), first.alias("m0"), second.alias("m1"))
     choice = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "m0", "m1"))
-    rooted = _rooted(found.groupBy("fp").agg(choice.alias("choice")), crowd)
+    # Fingerprints are asked for by the links and by the choice: they are made once.
+    rooted = _rooted(saved(found.groupBy("fp").agg(choice.alias("choice")), "fingerprints"), crowd)
     kept = rooted.groupBy("root").agg(F.min("choice").alias("choice")).select("choice.m0", "choice.m1")
     rows = docs.select(F.struct(*docs.columns).alias("row"), first.alias("m0"), second.alias("m1")).join(kept, ["m0", "m1"])
     # Only rows equal in all columns have the same marks: one of them stays.
