@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # Python workers are reached over socket files, not local ports.
+    "spark.python.unix.domain.socket.enabled": "true",
 }
 
 

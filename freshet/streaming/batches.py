@@ -111,8 +111,9 @@ def running_counts(
 
     Writes ``path/rows/batch_id=N`` and the totals of the batch's keys; ``finish``
     is applied before the rows are written (a filter, a ratio). A condition of
-    ``lit(True)`` counts rows; a sum is null before its first value. A key may hold any share of the rows. What
-    a batch writes follows its own keys; totals of all keys are put together every ``compact`` batches. With ``closing`` keys that are over, such as past windows, are forgotten then, and rows
+    ``lit(True)`` counts rows; a sum is null before its first value. A key may hold any share of the rows. What a
+    batch writes follows its own keys; totals of all keys are put together every ``compact`` batches. With
+    ``closing`` keys that are over, such as past windows, are forgotten then, and rows
     that come for a key after its end plus the delay has passed are dropped as late.
     """
     values = {name: F.when(c, 1).otherwise(0) for name, c in counts.items()} | dict(sums or {})

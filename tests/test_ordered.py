@@ -280,3 +280,19 @@ def test_rows_travel_whole(spark):
     want = spark.createDataFrame([full, empty], schema).withColumn("count of rows", F.lit(1))
     assert rows_of(got) == rows_of(want)
     assert utc_wall_clock(F.col("ts")) is not None
+
+
+def test_state_read_back_starts_another_stream(spark, shuffled):
+    """A checkpoint's counts, read as a table, are where a new query with a new checkpoint goes on."""
+    folder, table, done = shuffled
+    out, more = fresh_folder(spark, "first-life"), fresh_folder(spark, "more")
+    with ordered.rocksdb(spark):
+        drain(ordered.in_order(stream(spark, folder), ["user_id"], ORDER, ordered.CountSoFar()), f"{out}/data", f"{out}/checkpoint")
+    counts = ordered.state_rows(spark, f"{out}/checkpoint", "n", "user_id bigint")
+    later = BASE + timedelta(days=1)
+    write(spark, more, [(9000 + i, later + timedelta(seconds=i), 1 + i % 3, "a", 1) for i in range(9)])
+    write(spark, more, [(9100, later + timedelta(seconds=500), 1, "a", 1)])
+    found = ordered.in_order(stream(spark, more), ["user_id"], ORDER, ordered.CountSoFar(), initial=counts)
+    got = {r.event_id: r.n for r in ordered.drained_in_order(spark, found, "second-life").collect()}
+    before = {r.user_id: r.n for r in done.groupBy("user_id").agg(F.count("*").alias("n")).collect()}
+    assert got == {9000 + i: before[1 + i % 3] + 1 + i // 3 for i in range(9)}
