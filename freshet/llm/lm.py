@@ -170,10 +170,23 @@ def first_weights(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     return w
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+#: Logits below this can be raised to powers as they are.
+SAFE = 60.0
+_ONES = np.ones(max(CLASSES, MEMBERS), dtype=np.float32)
+
+
+def _largest(weights: np.ndarray, bias: np.ndarray) -> float:
+    """What no logit of hidden numbers between -1 and 1 exceeds."""
+    return float((np.abs(weights).sum(axis=-1) + np.abs(bias)).max())
+
+
+def _powers(logits: np.ndarray, largest: float, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(exp of the logits, in their place; their sums; the chosen logit) of each row, shifted where they could overflow."""
+    if largest > SAFE:
+        logits -= logits.max(axis=1, keepdims=True)
+    picked = logits[np.arange(len(logits)), chosen]
+    np.exp(logits, out=logits)
+    return logits, logits @ _ONES[: logits.shape[1]], picked
 
 
 def _by_class(klass: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
@@ -184,22 +197,30 @@ def _by_class(klass: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
 
 
 def _inner(w: dict[str, np.ndarray], hidden: np.ndarray, klass: np.ndarray, spans: list[tuple[int, slice]]) -> np.ndarray:
-    """Log-probabilities of the members of each place's class, places in the order of classes."""
+    """Logits of the members of each place's class, places in the order of classes."""
     out = np.empty((len(hidden), MEMBERS), dtype=np.float32)
     for c, span in spans:
         np.matmul(hidden[span], w["members"][c].T, out=out[span])
     out += w["member_bias"][klass]
-    return _log_softmax(out)
+    return out
+
+
+def _hidden(w: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    out = x @ w["hidden"]
+    out += w["hidden_bias"]
+    return np.tanh(out, out=out)
 
 
 def log_probabilities(w: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Of each target symbol given its neighbours."""
-    hidden = np.tanh(w["embed"][near].reshape(len(near), -1) @ w["hidden"] + w["hidden_bias"])
     klass, member = target % CLASSES, target // CLASSES
-    every = np.arange(len(target))
-    out = _log_softmax(hidden @ w["classes"].T + w["class_bias"])[every, klass].astype(np.float64)
     order, spans = _by_class(klass)
-    out[order] += _inner(w, hidden[order], klass[order], spans)[every, member[order]]
+    klass, member = klass[order], member[order]
+    hidden = _hidden(w, w["embed"][near[order]].reshape(len(near), -1))
+    _, outer, own = _powers(hidden @ w["classes"].T + w["class_bias"], _largest(w["classes"], w["class_bias"]), klass)
+    _, inner, one = _powers(_inner(w, hidden, klass, spans), _largest(w["members"], w["member_bias"]), member)
+    out = np.empty(len(target))
+    out[order] = own.astype(np.float64) - np.log(outer.astype(np.float64)) + one - np.log(inner.astype(np.float64))
     return out
 
 
@@ -217,25 +238,26 @@ class Replica:
     def descend(self, near: np.ndarray, target: np.ndarray) -> None:
         """One step down the mean negative log-probability."""
         w, n = self.w, np.float32(len(target))
-        x = w["embed"][near].reshape(len(target), -1)
-        hidden = np.tanh(x @ w["hidden"] + w["hidden_bias"])
-        klass, member = target % CLASSES, target // CLASSES
-        outer = np.exp(_log_softmax(hidden @ w["classes"].T + w["class_bias"])) / n
-        outer[np.arange(len(target)), klass] -= 1 / n
-        back = outer @ w["classes"]
         # Places in the order of their classes, so that only the products are taken class by class.
+        klass = target % CLASSES
         order, spans = _by_class(klass)
-        placed = hidden[order]
-        inner = _inner(w, placed, klass[order], spans)
-        np.exp(inner, out=inner)
-        inner /= n
-        inner[np.arange(len(target)), member[order]] -= 1 / n
-        lifted = np.empty_like(placed)
+        near, target, klass = near[order], target[order], klass[order]
+        every, member = np.arange(len(target)), target // CLASSES
+        x = w["embed"][near].reshape(len(target), -1)
+        hidden = _hidden(w, x)
+        outer, sums, _ = _powers(hidden @ w["classes"].T + w["class_bias"], _largest(w["classes"], w["class_bias"]), klass)
+        outer *= (1 / (sums * n))[:, None]
+        outer[every, klass] -= 1 / n
+        back = outer @ w["classes"]
+        inner, sums, _ = _powers(_inner(w, hidden, klass, spans), _largest(w["members"], w["member_bias"]), member)
+        inner *= (1 / (sums * n))[:, None]
+        inner[every, member] -= 1 / n
+        lifted = np.empty_like(hidden)
         change = np.zeros_like(w["members"])
         for c, span in spans:
             np.matmul(inner[span], w["members"][c], out=lifted[span])
-            np.matmul(inner[span].T, placed[span], out=change[c])
-        back[order] += lifted
+            np.matmul(inner[span].T, hidden[span], out=change[c])
+        back += lifted
         first = [span.start for _, span in spans]
         bias = np.zeros_like(w["member_bias"])
         bias[[c for c, _ in spans]] = np.add.reduceat(inner, first)
