@@ -13,12 +13,13 @@ queries inside ``rocksdb(spark)``, as ``drained_in_order`` does.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from copy import copy
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -33,6 +34,9 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 _KEY, _EVENT_TIME, _TIME, _ROW = "key", "event_time", "time", "row"
 _FORMATS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
+#: New rows that a task holds before it writes them, and rows handed to a program at once, where rows wait by slices.
+HELD_ROWS, MADE_ROWS = 50_000, 5_000
+
 #: Stands for a null in order columns, which come first.
 _FIRST = -(1 << 63)
 
@@ -67,8 +71,8 @@ class Program:
     def open(self, handle: StatefulProcessorHandle) -> None:
         raise NotImplementedError
 
-    def start_from(self, rows: pd.DataFrame) -> None:
-        """Take over the state of a key from rows of a batch."""
+    def start_from(self, row: Row) -> None:
+        """Take over the state of a key from a row of a batch."""
         raise NotImplementedError
 
     def process(self, times: list[int], rows: dict[str, list]) -> list[list]:
@@ -85,62 +89,206 @@ class Program:
 SKIP = object()
 
 
-class _InOrder(StatefulProcessor):
-    def __init__(self, program: Program, names: list[str], ties: int, schema: T.StructType, results: list[str]):
-        self.program, self.names, self.ties, self.schema, self.results = program, names, ties, schema, results
+class _Once:
+    """A value state that is fetched once a call, and written only when it changes."""
+
+    def __init__(self, state):
+        self.state = state
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.value = False, None
+
+    def get(self):
+        if not self.known:
+            self.known, self.value = True, self.state.get()
+        return self.value
+
+    def exists(self) -> bool:
+        return self.get() is not None
+
+    def update(self, value: tuple) -> None:
+        if self.get() != value:
+            self.state.update(value)
+            self.value = value
+
+    def clear(self) -> None:
+        if self.exists():
+            self.state.clear()
+            self.value = None
+
+
+class _Handle:
+    """The engine's handle, whose value states are asked once a call: every question goes to another process."""
+
+    def __init__(self, handle: StatefulProcessorHandle):
+        self.handle, self.values = handle, []
+
+    def __getattr__(self, name):
+        return getattr(self.handle, name)
+
+    def getValueState(self, *args) -> _Once:  # noqa: N802
+        self.values.append(_Once(self.handle.getValueState(*args)))
+        return self.values[-1]
+
+    def forget(self) -> None:
+        for value in self.values:
+            value.forget()
+
+
+class _Ordered(StatefulProcessor):
+    """What both forms of the reorder buffer share."""
+
+    def __init__(self, program: Program, names: list[str], ties: int, results: list[str]):
+        self.program, self.names, self.ties, self.results = program, names, ties, results
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", self.schema)
-        self.program.open(handle)
+        self.handle = _Handle(handle)
+        self.program.open(self.handle)
+        # Keys seen in this task and micro-batch: their timers have nothing left to do.
+        self.seen: set = set()
 
     def handleInitialState(self, key, initialState, timerValues) -> None:  # noqa: N802, N803
+        self.handle.forget()
         self.program.start_from(initialState)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        new: list[tuple] = []
-        for batch in rows:
-            new += zip(*(batch[c].tolist() for c in self.names))
-        yield from self._release(new, timerValues.getCurrentWatermarkInMs() * 1000)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802
-        yield from self._release([], timerValues.getCurrentWatermarkInMs() * 1000)
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator:  # noqa: N802
+        if tuple(key) in self.seen:
+            return
+        yield from self.handleInputRows(key, (), timerValues)
 
     def close(self) -> None:
         pass
 
-    def _release(self, new: list[tuple], watermark: int) -> Iterator[pd.DataFrame]:
-        held = list(self.waiting.get()) if self.waiting.exists() else []
-        kept = [tuple(r) for r in held if r[0] > watermark]
-        late_new = [r for r in new if r[0] > watermark]
-        ready = [tuple(r) for r in held if r[0] <= watermark] + [r for r in new if r[0] <= watermark]
-        if len(kept) < len(held):
-            self.waiting.clear()
-            if kept or late_new:
-                self.waiting.put(kept + late_new)
-        elif late_new:
-            # Nothing leaves: the rows of this batch alone are written.
-            self.waiting.appendList(late_new)
-        if ready:
-            ready.sort(key=lambda r: r[: self.ties + 1])
-            columns = list(zip(*ready))
-            inputs = {n: list(c) for n, c in zip(self.names[self.ties + 1 : -1], columns[self.ties + 1 : -1])}
-            made = self.program.process(list(columns[0]), inputs)
-            frame = {_ROW: list(columns[-1])}
-            frame.update(zip(self.results, made))
-            if made and any(v is SKIP for v in made[0]):
-                wanted = [v is not SKIP for v in made[0]]
-                frame = {n: [v for v, w in zip(c, wanted) if w] for n, c in frame.items()}
-            if frame[_ROW]:
-                yield pd.DataFrame({n: pd.Series(c, dtype=object) for n, c in frame.items()})
+    def _begin(self, key, timers) -> int:
+        """The watermark in microseconds."""
+        self.seen.add(tuple(key))
+        self.handle.forget()
+        return timers.getCurrentWatermarkInMs() * 1000
+
+    def _made(self, ready: list[tuple]) -> dict[str, list]:
+        """The columns that the program gives for rows whose time has come."""
+        ready.sort(key=lambda r: r[: self.ties + 1])
+        columns = list(zip(*ready))
+        inputs = {n: list(c) for n, c in zip(self.names[self.ties + 1 : -1], columns[self.ties + 1 : -1])}
+        made = self.program.process(list(columns[0]), inputs)
+        frame = {_ROW: list(columns[-1])}
+        frame.update(zip(self.results, made))
+        if made and any(v is SKIP for v in made[0]):
+            wanted = [v is not SKIP for v in made[0]]
+            frame = {n: [v for v, w in zip(c, wanted) if w] for n, c in frame.items()}
+        return frame
+
+    def _wake(self, watermark: int, waiting: list[int]) -> None:
+        """Forget what has expired, and call again when the next row or entry is due."""
         self.program.expire(watermark)
-        wakes = [r[0] for r in kept + late_new]
         soon = self.program.expires_at()
-        at = min([*wakes, *([] if soon is None else [soon])], default=None)
+        at = min([*waiting, *([] if soon is None else [soon])], default=None)
         if at is not None:
             self.handle.registerTimer(-(-at // 1000))
 
 
+class _InOrder(_Ordered):
+    """Many keys of few rows: the rows of a key and micro-batch wait as one entry of a list."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.waiting = handle.getListState("waiting", "oldest bigint, packed binary")
+        self.row = Row(_ROW, *self.results)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802
+        watermark = self._begin(key, timerValues)
+        new = [tuple(r[n] for n in self.names) for r in rows]
+        ready = [r for r in new if r[0] <= watermark]
+        kept = [r for r in new if r[0] > watermark]
+        held = [tuple(e) for e in self.waiting.get()]
+        closed = [e for e in held if e[0] > watermark]
+        for oldest, packed in held:
+            if oldest <= watermark:
+                for r in pickle.loads(packed):
+                    (ready if r[0] <= watermark else kept).append(r)
+        entry = [(min(r[0] for r in kept), pickle.dumps(kept, 5))] if kept else []
+        if len(closed) == len(held):
+            # Nothing leaves: the rows of this batch alone are written.
+            if entry:
+                self.waiting.appendList(entry)
+        elif closed or entry:
+            self.waiting.put(closed + entry)
+        else:
+            self.waiting.clear()
+        if ready:
+            yield from map(self.row, *map(_plain_maps, self._made(ready).values()))
+        self._wake(watermark, [e[0] for e in closed + entry])
+
+
+class _InSlices(_Ordered):
+    """Few keys of many rows: they wait by slices of time, of which one at a time is read.
+
+    A task holds the rows of a slice and ``HELD_ROWS`` new ones, however many wait.
+    """
+
+    def __init__(self, program: Program, names: list[str], ties: int, results: list[str], width: int):
+        super().__init__(program, names, ties, results)
+        self.width = width
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.waiting = handle.getMapState("waiting", "slice bigint, part bigint", "packed binary")
+        self.parts = self.handle.getValueState("parts", "n bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+        watermark = self._begin(key, timerValues)
+        new: dict[int, list[tuple]] = {}
+        count = 0
+        for batch in rows:
+            for r in zip(*(batch[c].tolist() for c in self.names)):
+                new.setdefault(r[0] // self.width, []).append(r)
+            count += len(batch)
+            if count >= HELD_ROWS:
+                self._put(new)
+                new, count = {}, 0
+        held: dict[int, list[int]] = {}
+        for at, part in [tuple(k) for k in self.waiting.keys()]:
+            held.setdefault(at, []).append(part)
+        last = watermark // self.width
+        ready: list[tuple] = []
+        wakes = [at * self.width for at in {*held, *new} if at > last]
+        for at in sorted(at for at in {*held, *new} if at <= last):
+            every = new.pop(at, [])
+            for part in held.get(at, []):
+                every += pickle.loads(self.waiting.getValue((at, part))[0])
+                self.waiting.removeKey((at, part))
+            ready += [r for r in every if r[0] <= watermark]
+            kept = [r for r in every if r[0] > watermark]
+            if kept:
+                new[at] = kept
+                wakes.append(min(r[0] for r in kept))
+            if len(ready) >= MADE_ROWS:
+                yield from self._frames(ready)
+                ready = []
+        if ready:
+            yield from self._frames(ready)
+        if new:
+            self._put(new)
+        self._wake(watermark, wakes)
+
+    def _put(self, new: dict[int, list[tuple]]) -> None:
+        part = self.parts.get()[0] if self.parts.exists() else 0
+        for at, rows in new.items():
+            self.waiting.updateValue((at, part), (pickle.dumps(rows, 5),))
+        self.parts.update((part + 1,))
+
+    def _frames(self, ready: list[tuple]) -> Iterator[pd.DataFrame]:
+        frame = self._made(ready)
+        if frame[_ROW]:
+            yield pd.DataFrame({n: pd.Series(c, dtype=object) for n, c in frame.items()})
+
+
+def _plain_maps(column: list) -> list:
+    """Maps as lists of pairs, which is how Arrow takes them from rows."""
+    return [list(v.items()) if isinstance(v, dict) else v for v in column]
+
+
 def _sortable(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
@@ -156,12 +304,14 @@ def in_order(
     order: Sequence[str],
     program: Program,
     initial: DataFrame | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Run ``program`` over the rows of each key, in the order of ``order``, adding its outputs.
 
     The first order column is the event time and carries the watermark. Rows without a time come
     first in their micro-batch. ``initial`` (keys and what ``program.start_from`` reads, one row
-    a key) is the state to begin with.
+    a key) is the state to begin with. With ``slices``, microseconds, rows wait by slices of that length and a
+    task reads one at a time: for few keys of many rows.
     """
     ties = [f"tie_{i}" for i in range(len(order) - 1)]
     inputs = dict(zip([f"in_{i}" for i in range(len(program.inputs))], program.inputs.values()))
@@ -174,7 +324,6 @@ def in_order(
         F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false", **_FORMATS}).alias(_ROW),
     )
     names = [_TIME, *ties, *inputs, _ROW]
-    schema = T.StructType([T.StructField(n, packed.schema[n].dataType) for n in names])
     plain = _Renamed(program, dict(zip(inputs, program.inputs)))
     results = [f"out_{i}" for i in range(len(program.outputs))]
     output = T.StructType([T.StructField(_ROW, T.StringType())])
@@ -183,9 +332,12 @@ def in_order(
     known = None
     if initial is not None:
         known = initial.select(_key(keys), *[c for c in initial.columns if c not in keys]).groupBy(_KEY)
-    made = packed.groupBy(_KEY).transformWithStateInPandas(
-        _InOrder(plain, names, len(ties), schema, results), output, "append", "eventTime", known
-    )
+    if slices:
+        sliced = _InSlices(plain, names, len(ties), results, slices)
+        made = packed.groupBy(_KEY).transformWithStateInPandas(sliced, output, "append", "eventTime", known)
+    else:
+        processor = _InOrder(plain, names, len(ties), results)
+        made = packed.groupBy(_KEY).transformWithState(processor, output, "append", "eventTime", known)
     back = F.from_json(_ROW, _plain(df.schema), _FORMATS).alias(_ROW)
     shown = [F.col(r).alias(n) for r, n in zip(results, program.outputs)]
     return made.select(back, *results).select(f"{_ROW}.*", *shown)
@@ -225,8 +377,8 @@ class CountSoFar(Program):
     def open(self, handle):
         self.n = handle.getValueState("n", "n bigint")
 
-    def start_from(self, rows):
-        self.n.update((int(rows["n"].iloc[0]),))
+    def start_from(self, row):
+        self.n.update((int(row["n"]),))
 
     def process(self, times, rows):
         before = self.n.get()[0] if self.n.exists() else 0
@@ -305,7 +457,7 @@ class History(Program):
         self.items = handle.getListState("items", "item string")
 
     def process(self, times, rows):
-        held = [r[0] for r in self.items.get()] if self.items.exists() else []
+        held = [r[0] for r in self.items.get()]
         items = held + rows["item"]
         ends = range(len(held) + 1, len(items) + 1)
         if not self.chunk:
@@ -339,7 +491,7 @@ class RecentHistory(Program):
         self.edge = handle.getValueState("edge", "oldest bigint, next bigint")
 
     def process(self, times, rows):
-        held = sorted((*k, v[0]) for k, v in self.entries.iterator()) if self.entries.exists() else []
+        held = sorted((*k, v[0]) for k, v in self.entries.iterator()) if self.edge.exists() else []
         nth = self.edge.get()[1] if self.edge.exists() else 0
         all_times = [t for t, _, _ in held] + times
         items = [i for _, _, i in held] + rows["item"]
@@ -398,7 +550,7 @@ class CategoryCount(Program):
                 continue
             if category not in known:
                 key = (category,)
-                known[category] = self.counts.getValue(key)[0] if self.counts.containsKey(key) else 0
+                known[category] = (self.counts.getValue(key) or (0,))[0]
             known[category] += 1
             shown.append(known[category])
         for category, n in known.items():
@@ -417,7 +569,7 @@ class CountMap(CategoryCount):
         self.outputs = {name: "map<string,bigint>"}
 
     def process(self, times, rows):
-        known = {k[0]: v[0] for k, v in self.counts.iterator()} if self.counts.exists() else {}
+        known = {k[0]: v[0] for k, v in self.counts.iterator()}
         touched, shown = set(), []
         for category in rows["category"]:
             if category is not None:
@@ -492,7 +644,9 @@ def controlled(
     )
     both = rows.unionByName(changes).withWatermark("__ts", delay)
     program = Threshold("__value", "__setting", "__control")
-    found = in_order(both, ["__group"], ["__ts", "__rank", "__id"], program)
+    # A group has every control row, so it is read in slices.
+    slices = max(1, interval_micros(df, delay) // 8)
+    found = in_order(both, ["__group"], ["__ts", "__rank", "__id"], program, slices=slices)
     return found.select("__data.*", F.col("threshold"))
 
 

@@ -296,3 +296,39 @@ def test_state_read_back_starts_another_stream(spark, shuffled):
     got = {r.event_id: r.n for r in ordered.drained_in_order(spark, found, "second-life").collect()}
     before = {r.user_id: r.n for r in done.groupBy("user_id").agg(F.count("*").alias("n")).collect()}
     assert got == {9000 + i: before[1 + i % 3] + 1 + i // 3 for i in range(9)}
+
+
+def test_rows_of_a_key_and_batch_wait_as_one_entry(spark):
+    folder, out = fresh_folder(spark, "packed"), fresh_folder(spark, "packed-out")
+    write(spark, folder, [(i, BASE + timedelta(seconds=i), 1, "a", 1) for i in range(30)])
+    write(spark, folder, [(30 + i, BASE + timedelta(seconds=30 + i), 1, "a", 1) for i in range(5)])
+    with ordered.rocksdb(spark):
+        drain(ordered.in_order(stream(spark, folder), ["user_id"], ORDER, ordered.CountSoFar()), f"{out}/data", f"{out}/checkpoint")
+    assert ordered.state_rows(spark, f"{out}/checkpoint", "waiting", "user_id bigint").count() == 2
+
+
+def test_control_groups_are_read_slice_by_slice(spark):
+    """Rows wait by slices of an eighth of the delay; what is written early comes back whole."""
+    folder, out = fresh_folder(spark, "sliced"), fresh_folder(spark, "sliced-out")
+    # Every third row is a control row; two files, and a last row that lets all of them pass.
+    rows = [(i, BASE + timedelta(seconds=i), i % 7, "c" if i % 3 == 0 else "a", i) for i in range(200)]
+    write(spark, folder, rows[1::2])
+    write(spark, folder, rows[::2])
+    write(spark, folder, [(900, BASE + timedelta(seconds=900), 1, "a", 1)])
+
+    def sides(df):
+        return df.where("kind = 'a'").select("event_id", "ts", "amount"), df.where("kind = 'c'").select("ts", F.col("event_id").alias("seq"), F.col("user_id").alias("setting"))
+
+    data, control = sides(stream(spark, folder, None))
+    found = ordered.controlled(data, control, "ts", "event_id", "amount", "setting", "seq", "200 seconds", 2)
+    with ordered.rocksdb(spark):
+        drain(found, f"{out}/data", f"{out}/checkpoint")
+    got = {r.event_id: r.threshold for r in spark.read.parquet(f"{out}/data").collect()}
+    want, now = {}, 0
+    for i, _, user, kind, amount in rows:
+        now = user if kind == "c" else now
+        if kind == "a" and amount > now:
+            want[i] = now
+    assert got == want and len(want) > 100
+    first = spark.read.format("statestore").option("stateVarName", "waiting").option("batchId", 0).load(f"{out}/checkpoint")
+    assert first.select("user_map_key.slice").distinct().count() == 8
