@@ -3,7 +3,7 @@
 The fixed patterns always hold. Beside them, generators of high recall propose
 overlapping candidates: anything around an at sign, long groups of digits, dotted
 numbers, account-like codes. Trees judge each by its format and by the words around it. They are
-trained on a bounded sample of documents, with the fixed patterns as labels: a
+trained on the candidates of all documents, with the fixed patterns as labels: a
 candidate is positive if it covers a match of its kind. So they learn in what company personal data
 stands, and find what is written like it but not by the pattern. Scores are calibrated on
 candidates that the trees were not trained on: the threshold of each kind is the lowest at which
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import bisect
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,7 +26,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freshet.llm.boosting import Trees, fit
+from freshet.llm.boosting import BINS, Trees, binned, cut_points, grow, histogram, of_bins
+from freshet.plans.scratch import materialize
 
 KINDS = ["email", "ip", "card", "phone"]
 
@@ -45,10 +47,12 @@ LOOSE = {
     "card": re.compile(r"(?<![\w+])[0-9]{3,6}(?:[\x20./-]?[0-9]{3,6}){2,5}(?!\w)"),
     "phone": re.compile(r"(?<![\w.])(?:\+|00|\()?[0-9]{1,4}\)?(?:[\x20./-]?\(?[0-9]{2,4}\)?){2,5}(?!\w)"),
 }
-#: Documents of the training sample (those with the smallest hashes of doc_id).
-SAMPLE = 8_000
-#: Share of sample documents for calibration, precision the calibrated threshold must show, fewest candidates for it.
+#: Different candidates (in bins, with their numbers) that are learned from at the driver; more stay in Spark, with the same trees.
+CELLS = 100_000
+#: Share of documents for calibration, precision the calibrated threshold must show, fewest candidates for it.
 CALIBRATION, PRECISION, SEEN = 4, 0.98, 20
+#: Steps of log odds and of margins.
+ODDS_STEP, MARGIN_STEP = 1 / 64, 1 / 1024
 #: Places that context words are hashed to, words looked at and the characters they are looked for in.
 CONTEXT, NEAR, REACH = 512, 3, 60
 
@@ -143,7 +147,8 @@ class Judge:
     threshold: dict[str, float]
 
     def rows(self, found: list[tuple[list[float], list[int]]]) -> np.ndarray:
-        return np.array([n + [float(self.odds[p].max(initial=0.0)), float(self.odds[p].sum())] for n, p in found])
+        context = np.array([[self.odds[p].max(initial=0.0), self.odds[p].sum()] for _, p in found])
+        return np.hstack([np.array([n for n, _ in found]), np.round(context / ODDS_STEP) * ODDS_STEP])
 
     def added(self, text: str, base: list[Span]) -> list[Span]:
         """Spans beyond the base ones, none overlapping another."""
@@ -166,57 +171,152 @@ def _touches(span: Span, sorted_spans: list[Span]) -> bool:
     return any(s[2] > span[0] for s in sorted_spans[max(0, at - 2 * len(KINDS)) : at])
 
 
-def train(texts: list[tuple[int, list, list, list]]) -> Judge:
-    """From (fold, numbers, places, label) per candidate."""
-    fold = np.array([t[0] for t in texts], dtype=np.int64)
-    label = np.array([t[3] for t in texts], dtype=float)
-    fitted = fold != 0
-    seen, good = np.ones(CONTEXT), np.full(CONTEXT, label[fitted].mean() if fitted.any() else 0.5)
-    for use, (_, _, places, y) in zip(fitted, texts):
-        if use:
-            for p in set(places):
-                seen[p] += 1
-                good[p] += y
-    share = good / seen
-    odds = np.log(np.maximum(share, 1e-3) / np.maximum(1 - share, 1e-3))
-    judge = Judge(Trees(), odds, dict.fromkeys(KINDS, float("inf")))
-    if not fitted.any():
-        return judge
-    x = judge.rows([(n, p) for _, n, p, _ in texts])
-    judge.trees = fit(x[fitted], label[fitted])
-    margins, kinds = judge.trees.margins(x), x[:, 0].astype(int)
-    for i, kind in enumerate(KINDS):
-        mine = ~fitted & (kinds == i)
-        order = np.argsort(-margins[mine], kind="stable")
-        hits = np.cumsum(label[mine][order])
-        precise = np.flatnonzero((hits / (np.arange(len(order)) + 1) >= PRECISION) & (hits >= SEEN))
-        if len(precise):
-            judge.threshold[kind] = float(max(0.0, margins[mine][order][precise[-1]]))
-    return judge
+CELL = "kind int, fitted boolean, label int, bins binary, n long"
 
 
-def learn(docs: DataFrame, bound: int = SAMPLE) -> Judge:
-    """Train on the candidates of at most ``bound`` documents."""
-    ids = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__id")).distinct()
-    # Bounded, 8 bytes a row: small enough to send to all.
-    chosen = F.broadcast(ids.orderBy(F.xxhash64("__id"), "__id").limit(bound))
-    rows = docs.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("__id")).select("doc_id", "text")
+def _proposed(docs: DataFrame) -> DataFrame:
+    """The candidates of all documents as the trees see them, like ones together: fitted (false: for
+    calibration), numbers, places, label, n."""
+    fitted = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION)) != 0, F.lit(True))
 
     def propose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            seen: Counter = Counter()
+            for used, text in zip(batch["fitted"], batch["text"]):
                 text = text or ""
-                base = base_spans(text)
-                for span in candidates(text):
+                found = candidates(text)
+                base = base_spans(text) if found else []
+                by_kind = {kind: [s for s in base if s[1] == kind] for kind in KINDS}
+                for span in found:
                     numbers, places = features(text, span)
-                    label = _touches(span, [s for s in base if s[1] == span[1]])
-                    out.append((int(doc_id) % CALIBRATION, numbers, places, int(label), span[0]))
-            yield pd.DataFrame(out, columns=["fold", "numbers", "places", "label", "start"])
+                    seen[bool(used), tuple(numbers), tuple(sorted(places)), int(_touches(span, by_kind[span[1]]))] += 1
+            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=["fitted", "numbers", "places", "label", "n"])
+
+    output = "fitted boolean, numbers array<double>, places array<int>, label int, n long"
+    return (
+        docs.select(fitted.alias("fitted"), "text").mapInPandas(propose, output)
+        .groupBy("fitted", "numbers", "places", "label").agg(F.sum("n").alias("n"))
+    )
+
+
+def _odds(found: DataFrame) -> np.ndarray:
+    """Log odds of a candidate with a word at each place."""
+    total = found.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("good")).first()
+    seen, good = np.ones(CONTEXT), np.full(CONTEXT, total.good / total.n if total.n else 0.5)
+    by_place = found.select(F.explode(F.array_distinct("places")).alias("place"), "n", "label").groupBy("place")
+    for r in by_place.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("label")).alias("good")).collect():
+        seen[r.place] += r.n
+        good[r.place] += r.good
+    share = good / seen
+    return np.log(np.maximum(share, 1e-3) / np.maximum(1 - share, 1e-3))
+
+
+def _arrays(cells: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    bins = np.frombuffer(b"".join(map(bytes, cells["bins"])), dtype=np.uint8).reshape(-1, width)
+    return bins, cells["label"].to_numpy(dtype=float), cells["n"].to_numpy(dtype=np.int64)
+
+
+def _local_sums(cells: pd.DataFrame, cuts: list[np.ndarray]):
+    bins, label, count = _arrays(cells, len(cuts))
+    x, known = of_bins(bins, cuts), {}
+
+    def sums(trees: Trees, path: list) -> np.ndarray:
+        grown = len(trees.feature)
+        if grown not in known:
+            if grown:
+                newest = Trees(0.0, trees.feature[-1:], trees.limit[-1:], trees.value[-1:])
+                margin = known.pop(grown - 1) + newest.margins(x)
+            else:
+                margin = trees.margins(x)
+            known[grown] = margin
+        return histogram(x, bins, label, count, known[grown], path)
+
+    return sums
+
+
+def _spark_sums(cells: DataFrame, cuts: list[np.ndarray]):
+    def sums(trees: Trees, path: list) -> np.ndarray:
+        def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total = 0
+            for batch in batches:
+                bins, label, count = _arrays(batch, len(cuts))
+                x = of_bins(bins, cuts)
+                total = total + histogram(x, bins, label, count, trees.margins(x), path)
+            if np.ndim(total):
+                g, h, n = total.reshape(3, -1)
+                yield pd.DataFrame({"at": np.arange(len(g)), "g": g, "h": h, "n": n})
+
+        made = cells.mapInPandas(part, "at int, g long, h long, n long").groupBy("at").agg(F.sum("g"), F.sum("h"), F.sum("n"))
+        out = np.zeros((3, 2 ** len(path) * len(cuts) * BINS), dtype=np.int64)
+        for at, *values in made.collect():
+            out[:, at] = values
+        return out.reshape(3, -1, len(cuts), BINS)
+
+    return sums
 
-    found = rows.mapInPandas(propose, "fold int, numbers array<double>, places array<int>, label int, start long")
-    rows = found.orderBy("fold", "label", "start", "numbers").collect()
-    return train([(r.fold, list(r.numbers), list(r.places), r.label) for r in rows])
+
+def _thresholds(cells: DataFrame, trees: Trees, cuts: list[np.ndarray]) -> dict[str, float]:
+    """Per kind the lowest margin at which the calibration candidates show the precision."""
+
+    def judged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            bins, label, count = _arrays(batch, len(cuts))
+            step = np.floor(trees.margins(of_bins(bins, cuts)) / MARGIN_STEP).astype(np.int64)
+            yield pd.DataFrame({"kind": batch["kind"], "step": step, "n": count, "good": (count * label).astype(np.int64)})
+
+    steps = cells.where("NOT fitted").mapInPandas(judged, "kind int, step long, n long, good long")
+    steps = steps.groupBy("kind", "step").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).collect()
+    found = dict.fromkeys(KINDS, float("inf"))
+    for i, kind in enumerate(KINDS):
+        n = good = 0
+        for r in sorted((r for r in steps if r.kind == i), key=lambda r: -r.step):
+            n, good = n + r.n, good + r.good
+            if good >= SEEN and good >= PRECISION * n:
+                found[kind] = max(0.0, r.step * MARGIN_STEP)
+    return found
+
+
+def learn(docs: DataFrame, at_driver: int = CELLS) -> Judge:
+    """Train on the candidates of all documents.
+
+    They are put in bins and counted; the trees grow on the counts, which are read at the driver if there
+    are at most ``at_driver``, else added up in Spark for each level of each tree. Sums are of whole numbers, so both give the same.
+    """
+    found = materialize(_proposed(docs), "pii-candidates")
+    fitted = found.where("fitted")
+    judge = Judge(Trees(), _odds(fitted), dict.fromkeys(KINDS, float("inf")))
+
+    def rows(batch: pd.DataFrame) -> np.ndarray:
+        return judge.rows([(list(n), list(p)) for n, p in zip(batch["numbers"], batch["places"])])
+
+    def values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield pd.DataFrame({"x": list(rows(batch)), "n": batch["n"].to_numpy()})
+
+    exploded = fitted.mapInPandas(values, "x array<double>, n long").select(F.posexplode("x").alias("feature", "value"), "n")
+    # A few hundred lengths, counts and steps of log odds a feature, however many documents.
+    occur = exploded.groupBy("feature", "value").agg(F.sum("n").alias("n")).toPandas()
+    if not len(occur):
+        return judge
+    cuts = [cut_points(of["value"].to_numpy(), of["n"].to_numpy()) for _, of in occur.groupby("feature")]
+
+    def in_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                x = rows(batch)
+                made = batch[["fitted", "label", "n"]].assign(kind=x[:, 0].astype(int), bins=[b.tobytes() for b in binned(x, cuts)])
+                yield made[["kind", "fitted", "label", "bins", "n"]]
+
+    cells = found.mapInPandas(in_cells, CELL).groupBy("kind", "fitted", "label", "bins").agg(F.sum("n").alias("n"))
+    cells = materialize(cells, "pii-cells")
+    learned = cells.where("fitted")
+    few = learned.count() <= at_driver
+    sums = _local_sums(learned.toPandas(), cuts) if few else _spark_sums(learned, cuts)
+    total = learned.agg(F.sum("n"), F.sum(F.col("n") * F.col("label"))).first()
+    judge.trees = grow(cuts, total[0], total[1], sums)
+    judge.threshold = _thresholds(cells, judge.trees, cuts)
+    return judge
 
 
 def _written(spans: list[Span]) -> str:

@@ -185,6 +185,27 @@ def test_trees_find_what_is_written_alike(spark):
     assert all(r.spans.startswith(("phone", "email")) for r in found if r.doc_id % 3 != 1)
 
 
+def test_pii_learns_from_every_document(spark, monkeypatch):
+    """Company seen in no small part of the table counts, and both ways of growing give the same trees."""
+    plain = spark.range(30_000).selectExpr("id AS doc_id", "'nothing to see, code 123 456 7890 here' AS text")
+    rare = spark.range(30_000, 30_400).selectExpr("id AS doc_id", "concat('ring at home +1 555 222 ', 1000 + id % 9000, ' tonight') AS text")
+    docs = plain.unionByName(rare)
+    judge = pii.learn(docs)
+    proposed = pii._proposed(docs)
+    # Each number is proposed as a card and as a phone.
+    assert proposed.agg(F.sum("n")).first()[0] == 60_800
+    assert proposed.where("label = 1").agg(F.sum("n")).first()[0] == 400
+    text = "ring at home 001 555 222 1234 tonight"
+    assert [s[1] for s in judge.added(text, [])] == ["phone"]
+    assert judge.added("nothing to see, code 123 456 7890 here", []) == []
+    monkeypatch.setattr(boosting, "ROUNDS", 4)
+    few = rare.unionByName(plain.where("doc_id < 500"))
+    here, there = pii.learn(few), pii.learn(few, at_driver=0)
+    assert here.threshold == there.threshold and here.trees.bias == there.trees.bias
+    for a, b in zip(here.trees.value + here.trees.limit, there.trees.value + there.trees.limit):
+        assert np.array_equal(a, b)
+
+
 def test_redaction():
     assert pii.redacted("mail a@b.cd now", "email:5:11") == "mail [email] now"
     assert pii.redacted("abcdef", "ip:1:4,card:2:5") == "a[ip]f"
