@@ -10,6 +10,8 @@ import pickle
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain, groupby
+from operator import itemgetter
 from typing import Any
 
 import numpy as np
@@ -179,11 +181,68 @@ def apply_in_order(
     # Sorted by the group first, so that grouping keeps the order.
     dealt = windowed.repartition(*group).sortWithinPartitions(*group, *order)
 
-    # The annotations ask for batches in place of a whole table.
-    def in_batches(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from function(key, batches)
-
-    return dealt.groupBy(*group).applyInArrow(in_batches, output)
+    names = T.StructType.fromDDL(output).names
+
+    # One call a partition: its batches are cut where the group changes, which costs less than a batch a group.
+    def in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: list[pa.RecordBatch] = []
+        for _, parts in groupby(_cut_by(group, batches), key=itemgetter(0)):
+            first = next(parts)[1]
+            key = tuple(first.column(first.schema.get_field_index(c))[0] for c in group)
+            for out in function(key, chain([first], map(itemgetter(1), parts))):
+                out = out.select(names)
+                if made and (len(made) >= MADE_BATCHES or out.num_rows >= MADE_BATCHES or out.schema != made[0].schema):
+                    yield _joined(made)
+                    made = []
+                made.append(out)
+        if made:
+            yield _joined(made)
+
+    return dealt.mapInArrow(in_groups, output)
+
+
+MADE_BATCHES = 5_000
+"""Small results that are sent back as one batch; one of that many rows goes alone."""
+
+
+def _joined(made: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return made[0] if len(made) == 1 else pa.concat_batches(made)
+
+
+def _cut_by(group: Sequence[str], batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Batches sorted by ``group``, cut where it changes, with a number that is the same for all parts of a group."""
+    number, last = 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(batch.schema.get_field_index(c)) for c in group]
+        ends = [pa.concat_arrays([before, column.slice(0, 1)]) for before, column in zip(last, columns)] if last else []
+        if ends and _changes(ends)[0]:
+            number += 1
+        starts = [0, *(np.flatnonzero(_changes(columns)) + 1).tolist()]
+        for at, end in zip(starts, [*starts[1:], batch.num_rows]):
+            if at:
+                number += 1
+            yield number, batch.slice(at, end - at)
+        last = [column.slice(batch.num_rows - 1) for column in columns]
+
+
+def _changes(columns: list[pa.Array]) -> np.ndarray:
+    """Whether each row but the first differs from the one before; nulls are alike, as are NaNs."""
+    changed = np.zeros(len(columns[0]) - 1, dtype=bool)
+    for column in columns:
+        if pa.types.is_nested(column.type):
+            values = column.to_pylist()
+            changed |= np.array([a != b for a, b in zip(values, values[1:])], dtype=bool)
+            continue
+        one, two = column.slice(0, len(column) - 1), column.slice(1)
+        alike = pc.fill_null(pc.equal(one, two), False)
+        alike = pc.or_(alike, pc.and_(pc.is_null(one, nan_is_null=True), pc.is_null(two, nan_is_null=True)))
+        if pa.types.is_floating(column.type):
+            # A NaN is no null.
+            alike = pc.and_(alike, pc.equal(pc.is_valid(one), pc.is_valid(two)))
+        changed |= ~alike.to_numpy(zero_copy_only=False)
+    return changed
 
 
 def median_gap(ts: str, names: Sequence[str]) -> Callable[[tuple, Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -139,3 +139,17 @@ def test_the_order_costs_one_sort(spark, data):
     found = win.apply_in_order(df, "ts", "1 day", gaps, output, ["ts", "event_id"], ["user_id"])
     text = found._jdf.queryExecution().executedPlan().toString()
     assert text.count("Sort [") == 1 and text.count("Exchange ") == 1
+
+
+def test_windows_of_a_partition_come_back_in_few_batches(spark):
+    """Groups are cut from the batches of a partition, also where a group goes on in the next batch."""
+    table = pa.table({"k": [None, None, float("nan"), float("nan"), 1.0, 1.0, 1.0, 2.0], "w": [1, 1, 1, 1, 1, 1, 2, 2]})
+    parts = list(win._cut_by(["k", "w"], iter(table.to_batches(max_chunksize=3))))
+    assert [(n, p.num_rows) for n, p in parts] == [(0, 2), (1, 1), (1, 1), (2, 2), (3, 1), (4, 1)]
+    rows = [(i, BASE + timedelta(minutes=i), i % 500) for i in range(3000)]
+    df = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint")
+    output = "user_id bigint, window_start timestamp_ntz, window_end timestamp_ntz, n bigint, median_gap double"
+    gaps = win.median_gap("ts", output.replace(",", "").split()[:6:2])
+    found = win.apply_in_order(df, "ts", "1 hour", gaps, output, ["ts", "event_id"], ["user_id"])
+    sizes = found.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n bigint").collect()
+    assert sum(r.n for r in sizes) == 3000 and len(sizes) < 50
