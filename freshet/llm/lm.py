@@ -23,11 +23,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from freshet.llm.base import saved, words
+from freshet.llm.base import saved
 
 #: Symbols: CLASSES * MEMBERS; the last ``SHARED`` are shared by rare words. Symbol 0 is the edge.
 CLASSES, MEMBERS, SHARED = 32, 32, 256
@@ -42,8 +44,10 @@ SHARD_PLACES = 1 << 22
 KNOWN, ADDED = 1 << 17, 0.5
 #: Whole-number scale of averaged weights, and weights per averaged block.
 SCALE, SLAB = 1 << 30, 1024
-#: Places handled at once.
-PLACES = 1 << 16
+#: Bytes of texts whose words are looked up at once.
+CHUNK = 1 << 23
+#: Places handled at once, scored at once, and steps whose orders are found at once.
+PLACES, NEARBY, AHEAD = 1 << 16, 1 << 12, 16
 SEED = 9
 
 SHAPES = {
@@ -61,30 +65,58 @@ def _bucket(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word[-3:], 42) % SHARED
 
 
-class Places(dict):
-    """Places by word in UTF-8; a word that is not known has its bucket's, after all others."""
+def _chunks(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """(start, end) of things that stand side by side, up to a size together; a larger one is alone."""
+    start, held = 0, 0
+    for at, size in enumerate(sizes.tolist()):
+        if at > start and held + size > most:
+            yield start, at
+            start, held = at, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes)
 
-    def __missing__(self, word: bytes) -> int:
-        return len(self) + _bucket(word)
+
+def _split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of some texts in UTF-8, which are in lower case and not null, in one row, and the number of words of each."""
+    split = pc.ascii_split_whitespace(texts)
+    found, ends = split.flatten(), split.offsets.to_numpy().astype(np.int64)
+    # Blanks at an end of a text leave an empty word there.
+    some = pc.not_equal(found, "")
+    before = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    return found.filter(some), np.diff(before[ends - ends[0]])
 
 
 @dataclass
 class Vocabulary:
-    """What is known of words: up to ``KNOWN`` frequent ones have a place, the others share one by bucket."""
+    """What is known of words: up to ``KNOWN`` frequent ones have a place, the others share one by bucket, after these."""
 
-    place: Places
+    known: pa.Array
     #: Symbol, and logarithm of the word's part in it, by place.
     symbols: np.ndarray
     parts: np.ndarray
     #: Occurrences of each symbol in the corpus.
     counts: np.ndarray
 
+    def _places(self, found: pa.Array) -> np.ndarray:
+        known = pc.index_in(found, value_set=self.known)
+        places = known.fill_null(-1).to_numpy().astype(np.int32)
+        ends = pc.binary_slice(found.filter(known.is_null()).view(pa.binary()), -3).dictionary_encode()
+        buckets = np.array([_bucket(end) for end in ends.dictionary.to_pylist()], dtype=np.int32)
+        places[places < 0] = len(self.known) + buckets[ends.indices.to_numpy()]
+        return places
+
+    def spell(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The places of the words of some texts in one row, and the number of words of each text."""
+        low = [(text or "").lower().encode("utf-8", "surrogatepass") for text in texts]
+        found, lengths = _split(pa.array(low, pa.binary()).view(pa.string()))
+        return self._places(found), lengths
+
     def places(self, text: str | None) -> np.ndarray:
-        found = (text or "").lower().encode("utf-8", "surrogatepass").split()  # bytes split at ASCII white space only
-        return np.fromiter(map(self.place.__getitem__, found), dtype=np.int32, count=len(found))
+        return self.spell([text])[0]
 
     def symbol(self, word: bytes) -> int:
-        return int(self.symbols[self.place[word]])
+        return int(self.symbols[self._places(pa.array([word], pa.binary()).view(pa.string()))[0]])
 
 
 def _frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
@@ -104,16 +136,20 @@ def spelled(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(shard, mark, doc_id, symbols, parts): the texts as symbols, which all later passes read in place of the text, and
     the sum of the logarithms of their words' parts in shared symbols. Rows are in their shards, in order."""
 
-    def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, parts = [], []
-            for text in batch["text"]:
-                places = vocabulary.places(text)
-                rows.append(vocabulary.symbols[places])
-                parts.append(float(vocabulary.parts[places].sum()))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "symbols": pd.Series(rows, dtype=object), "parts": parts})
-
-    found = docs.select("doc_id", "text").mapInPandas(spell, "doc_id long, symbols array<short>, parts double")
+            # Sizes in bytes; the words of a chunk are looked up at once.
+            sizes = pc.binary_length(batch["text"]).fill_null(0).to_numpy()
+            for start, end in _chunks(sizes, CHUNK):
+                part = batch.slice(start, end - start)
+                places, lengths = vocabulary.spell(part["text"].to_pylist())
+                ends = np.concatenate([[0], np.cumsum(lengths)])
+                parts = vocabulary.parts.take(places)
+                sums = [parts[a:b].sum() for a, b in zip(ends.tolist(), ends[1:].tolist())]
+                rows = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(vocabulary.symbols.take(places)))
+                yield pa.RecordBatch.from_arrays([part["doc_id"], rows, pa.array(sums, pa.float64())], ["doc_id", "symbols", "parts"])
+
+    found = docs.select("doc_id", "text").mapInArrow(spell, "doc_id long, symbols array<short>, parts double")
     shards = max(1, -(-int(vocabulary.counts.sum()) // SHARD_PLACES))
     mark = F.xxhash64("doc_id", "symbols")
     dealt = found.select(F.pmod(mark, F.lit(shards)).cast("int").alias("shard"), mark.alias("mark"), "doc_id", "symbols", "parts")
@@ -127,9 +163,14 @@ def learn_vocabulary(docs: DataFrame) -> Vocabulary:
     the known words n is the mean of the bucket's others, of which an unseen word is one more.
     """
 
-    text = F.lower(F.coalesce("text", F.lit("")))
-    counts = docs.select(F.explode(words(text)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    counts = saved(counts, "word-counts")
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, end in _chunks(pc.binary_length(batch["text"]).to_numpy(), CHUNK):
+                found = pc.value_counts(_split(batch["text"].slice(start, end - start))[0])
+                yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], ["word", "n"])
+
+    each = docs.select(F.lower(F.coalesce("text", F.lit(""))).alias("text")).mapInArrow(count, "word string, n long")
+    counts = saved(each.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     known = _frequent(counts, KNOWN)
     own = SYMBOLS - SHARED - 1
     # The same hash as _bucket, over all words; those with symbols of their own, and known ones, are taken off again.
@@ -156,7 +197,7 @@ def learn_vocabulary(docs: DataFrame) -> Vocabulary:
         rest_times[bucket] -= n
         rest_kinds[bucket] -= 1
     parts[len(known) :] = np.log((rest_times / (rest_kinds + 1) + ADDED) / whole)
-    return Vocabulary(Places((word, at) for at, (word, _) in enumerate(known)), symbols, parts, seen)
+    return Vocabulary(pa.array([word for word, _ in known], pa.binary()).view(pa.string()), symbols, parts, seen)
 
 
 def first_weights(vocabulary: Vocabulary) -> dict[str, np.ndarray]:
@@ -180,31 +221,43 @@ def _largest(weights: np.ndarray, bias: np.ndarray) -> float:
     return float((np.abs(weights).sum(axis=-1) + np.abs(bias)).max())
 
 
-def _powers(logits: np.ndarray, largest: float, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(exp of the logits, in their place; their sums; the chosen logit) of each row, shifted where they could overflow."""
+def _powers(logits: np.ndarray, largest: float, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+    """Takes exp of the logits in their place, shifted where they could overflow: the sums of each row, and the logits
+    at the chosen places of all rows."""
     if largest > SAFE:
         logits -= logits.max(axis=1, keepdims=True)
-    picked = logits[np.arange(len(logits)), chosen]
+    picked = None if chosen is None else logits.ravel().take(chosen)
     np.exp(logits, out=logits)
-    return logits, logits @ _ONES[: logits.shape[1]], picked
+    return logits @ _ONES[: logits.shape[1]], picked
 
 
-def _by_class(klass: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
-    """The order of places by class, and where each class that occurs stands in it."""
-    order = np.argsort(klass, kind="stable")
-    ends = np.cumsum(np.bincount(klass, minlength=CLASSES)).tolist()
-    return order, [(c, slice(a, b)) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
+def _spans(sizes: np.ndarray) -> list[tuple[int, int, int]]:
+    """(class, start, end) of each class that occurs, in places in the order of classes."""
+    ends = np.cumsum(sizes).tolist()
+    return [(c, a, b) for c, (a, b) in enumerate(zip([0, *ends], ends)) if a < b]
 
 
-def _inner(w: dict[str, np.ndarray], hidden: np.ndarray, klass: np.ndarray, spans: list[tuple[int, slice]]) -> np.ndarray:
+def _outer(w: dict[str, np.ndarray], hidden: np.ndarray) -> np.ndarray:
+    """Logits of the classes."""
+    out = hidden @ w["classes"].T
+    out += w["class_bias"]
+    return out
+
+
+def _inner(w: dict[str, np.ndarray], hidden: np.ndarray, sizes: np.ndarray, spans: list[tuple[int, int, int]]) -> np.ndarray:
     """Logits of the members of each place's class, places in the order of classes."""
-    out = np.empty((len(hidden), MEMBERS), dtype=np.float32)
-    for c, span in spans:
-        np.matmul(hidden[span], w["members"][c].T, out=out[span])
-    out += w["member_bias"][klass]
+    out, members, dot = np.empty((len(hidden), MEMBERS), dtype=np.float32), list(w["members"].transpose(0, 2, 1)), np.dot
+    for c, a, b in spans:
+        dot(hidden[a:b], members[c], out[a:b])
+    out += np.repeat(w["member_bias"], sizes, axis=0)
     return out
 
 
+def _seen(w: dict[str, np.ndarray], near: np.ndarray) -> np.ndarray:
+    """The numbers of the neighbours of each place, side by side."""
+    return w["embed"].take(near.ravel(), axis=0).reshape(len(near), -1)
+
+
 def _hidden(w: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
     out = x @ w["hidden"]
     out += w["hidden_bias"]
@@ -213,14 +266,19 @@ def _hidden(w: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
 
 def log_probabilities(w: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Of each target symbol given its neighbours."""
-    klass, member = target % CLASSES, target // CLASSES
-    order, spans = _by_class(klass)
-    klass, member = klass[order], member[order]
-    hidden = _hidden(w, w["embed"][near[order]].reshape(len(near), -1))
-    _, outer, own = _powers(hidden @ w["classes"].T + w["class_bias"], _largest(w["classes"], w["class_bias"]), klass)
-    _, inner, one = _powers(_inner(w, hidden, klass, spans), _largest(w["members"], w["member_bias"]), member)
     out = np.empty(len(target))
-    out[order] = own.astype(np.float64) - np.log(outer.astype(np.float64)) + one - np.log(inner.astype(np.float64))
+    most = _largest(w["classes"], w["class_bias"]), _largest(w["members"], w["member_bias"])
+    # Parts of even size that stay in a core's cache.
+    ends = np.linspace(0, len(target), -(-len(target) // NEARBY) + 1).astype(int).tolist()
+    for start, end in zip(ends, ends[1:]):
+        klass, member = target[start:end] % CLASSES, target[start:end] // CLASSES
+        order, sizes = np.argsort(klass, kind="stable"), np.bincount(klass, minlength=CLASSES)
+        rows = np.arange(end - start)
+        hidden = _hidden(w, _seen(w, near[start:end].take(order, axis=0)))
+        outer, own = _powers(_outer(w, hidden), most[0], rows * CLASSES + klass[order])
+        inner, one = _powers(_inner(w, hidden, sizes, _spans(sizes)), most[1], rows * MEMBERS + member[order])
+        found = own.astype(np.float64) - np.log(outer.astype(np.float64)) + one - np.log(inner.astype(np.float64))
+        out[start:end][order] = found
     return out
 
 
@@ -228,52 +286,87 @@ class Replica:
     """Weights under training; every weight has its own step size, which shrinks as it moves (Adagrad)."""
 
     def __init__(self, weights: dict[str, np.ndarray]):
-        self.w = {name: w.copy() for name, w in weights.items()}
-        self.moved = {name: np.full_like(w, 1e-4) for name, w in weights.items()}
-
-    def _move(self, name: str, gradient: np.ndarray, at=...) -> None:
-        self.moved[name][at] += gradient**2
-        self.w[name][at] -= RATE * gradient / np.sqrt(self.moved[name][at])
+        self.flat = np.concatenate([weights[name].ravel() for name in SHAPES])
+        self.moved, self.change, self.root = np.full_like(self.flat, 1e-4), np.empty_like(self.flat), np.empty_like(self.flat)
+        # Views of all weights and of the gradients of all.
+        self.w, self.gradient = _views(self.flat), _views(self.change)
+        self.most = {"classes": np.inf, "members": np.inf}
+
+    def _move(self) -> None:
+        np.square(self.change, out=self.root)
+        self.moved += self.root
+        np.sqrt(self.moved, out=self.root)
+        self.change *= RATE
+        self.change /= self.root
+        self.flat -= self.change
+
+    def _most(self, name: str, bias: str) -> float:
+        """What no logit exceeds. A step moves no weight by more than ``RATE``, so that it need not be taken anew before
+        that many steps could have brought it to ``SAFE``."""
+        self.most[name] += 1.01 * RATE * (HIDDEN + 1)
+        if self.most[name] > SAFE:
+            self.most[name] = _largest(self.w[name], self.w[bias])
+        return self.most[name]
 
     def descend(self, near: np.ndarray, target: np.ndarray) -> None:
-        """One step down the mean negative log-probability."""
-        w, n = self.w, np.float32(len(target))
+        """Steps of ``STEP`` places, the last one of what is left, down the mean negative log-probability of each."""
+        for at in range(0, len(target), AHEAD * STEP):
+            self._steps(near[at : at + AHEAD * STEP], target[at : at + AHEAD * STEP])
+
+    def _steps(self, near: np.ndarray, target: np.ndarray) -> None:
+        """The orders that some steps need are found for all of them at once."""
+        step = np.arange(len(target)) // STEP
+        steps = int(step[-1]) + 1
         # Places in the order of their classes, so that only the products are taken class by class.
-        klass = target % CLASSES
-        order, spans = _by_class(klass)
-        near, target, klass = near[order], target[order], klass[order]
-        every, member = np.arange(len(target)), target // CLASSES
-        x = w["embed"][near].reshape(len(target), -1)
+        key = step * CLASSES + target % CLASSES
+        order = np.argsort(key.astype(np.uint16), kind="stable")
+        sizes = np.bincount(key, minlength=steps * CLASSES).reshape(steps, CLASSES)
+        near, target = near.take(order, axis=0).astype(np.intp), target[order].astype(np.intp)
+        every = np.arange(len(target)) % STEP
+        klass, member = every * CLASSES + target % CLASSES, every * MEMBERS + target // CLASSES
+        # The gradients of one symbol stand together and are summed as a segment.
+        key = (near + (step * SYMBOLS)[:, None]).ravel()
+        beside = np.argsort(key.astype(np.uint16), kind="stable") % (STEP * 2 * SIDE)
+        times = np.bincount(key, minlength=steps * SYMBOLS).reshape(steps, SYMBOLS)
+        for k in range(steps):
+            part = slice(k * STEP, (k + 1) * STEP)
+            whole = slice(k * STEP * 2 * SIDE, (k + 1) * STEP * 2 * SIDE)
+            self._step(near[part], klass[part], member[part], sizes[k], beside[whole], times[k])
+
+    def _step(self, near: np.ndarray, klass: np.ndarray, member: np.ndarray, sizes: np.ndarray, beside: np.ndarray, times: np.ndarray) -> None:
+        w, g, n, spans = self.w, self.gradient, np.float32(len(near)), _spans(sizes)
+        x = _seen(w, near)
         hidden = _hidden(w, x)
-        outer, sums, _ = _powers(hidden @ w["classes"].T + w["class_bias"], _largest(w["classes"], w["class_bias"]), klass)
+        outer = _outer(w, hidden)
+        sums, _ = _powers(outer, self._most("classes", "class_bias"))
         outer *= (1 / (sums * n))[:, None]
-        outer[every, klass] -= 1 / n
-        back = outer @ w["classes"]
-        inner, sums, _ = _powers(_inner(w, hidden, klass, spans), _largest(w["members"], w["member_bias"]), member)
+        outer.ravel()[klass] -= 1 / n
+        inner = _inner(w, hidden, sizes, spans)
+        sums, _ = _powers(inner, self._most("members", "member_bias"))
         inner *= (1 / (sums * n))[:, None]
-        inner[every, member] -= 1 / n
-        lifted = np.empty_like(hidden)
-        change = np.zeros_like(w["members"])
-        for c, span in spans:
-            np.matmul(inner[span], w["members"][c], out=lifted[span])
-            np.matmul(inner[span].T, hidden[span], out=change[c])
+        inner.ravel()[member] -= 1 / n
+        lifted, members, change, dot = np.empty_like(hidden), list(w["members"]), list(g["members"]), np.dot
+        if len(spans) < CLASSES:
+            g["members"][:], g["member_bias"][:] = 0, 0
+        for c, a, b in spans:
+            own = inner[a:b]
+            dot(own, members[c], lifted[a:b])
+            dot(own.T, hidden[a:b], change[c])
+        g["member_bias"][[c for c, _, _ in spans]] = np.add.reduceat(inner, [a for _, a, _ in spans])
+        back = outer @ w["classes"]
         back += lifted
-        first = [span.start for _, span in spans]
-        bias = np.zeros_like(w["member_bias"])
-        bias[[c for c, _ in spans]] = np.add.reduceat(inner, first)
-        self._move("members", change)
-        self._move("member_bias", bias)
-        self._move("classes", outer.T @ hidden)
-        self._move("class_bias", outer.sum(axis=0))
-        back *= 1 - hidden**2
+        np.dot(outer.T, hidden, out=g["classes"])
+        outer.sum(axis=0, out=g["class_bias"])
+        hidden *= hidden
+        back *= np.subtract(1, hidden, out=hidden)
         lower = (back @ w["hidden"].T).reshape(-1, WIDTH)
-        self._move("hidden", x.T @ back)
-        self._move("hidden_bias", back.sum(axis=0))
-        # The gradients of one symbol stand together and are summed as a segment.
-        flat = near.ravel()
-        order = np.argsort(flat, kind="stable")
-        first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        self._move("embed", np.add.reduceat(lower[order], first), flat[order][first])
+        np.dot(x.T, back, out=g["hidden"])
+        back.sum(axis=0, out=g["hidden_bias"])
+        shown = np.flatnonzero(times)
+        ends = np.cumsum(times[shown])
+        g["embed"][:] = 0
+        g["embed"][shown] = np.add.reduceat(lower.take(beside, axis=0), ends - times[shown])
+        self._move()
 
 
 def _mixed(symbols: np.ndarray) -> int:
@@ -323,15 +416,20 @@ def _flat(w: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([w[name].ravel() for name in SHAPES]).astype(np.float64)
 
 
-def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
+def _views(flat: np.ndarray) -> dict[str, np.ndarray]:
+    """The weights in a row of all."""
     out, at = {}, 0
     for name, shape in SHAPES.items():
         size = int(np.prod(shape))
-        out[name] = flat[at : at + size].reshape(shape).astype(np.float32)
+        out[name] = flat[at : at + size].reshape(shape)
         at += size
     return out
 
 
+def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
+    return _views(flat.astype(np.float32))
+
+
 def _train_round(texts: DataFrame, weights: dict[str, np.ndarray], turn: int, rounds: int) -> dict[str, np.ndarray]:
     def replica(texts: list[np.ndarray], own: Replica, left: list[np.ndarray]) -> int:
         """Train on the masked places of some texts in whole steps; what is left waits for the next ones."""
@@ -346,8 +444,7 @@ def _train_round(texts: DataFrame, weights: dict[str, np.ndarray], turn: int, ro
                 near = np.concatenate([left[0], row[part[:, None] + OFFSETS]])
                 target = np.concatenate([left[1], row[part]])
                 whole = len(target) // STEP * STEP
-                for step in range(0, whole, STEP):
-                    own.descend(near[step : step + STEP], target[step : step + STEP])
+                own.descend(near[:whole], target[:whole])
                 left[:] = near[whole:], target[whole:]
         return trained
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -282,3 +283,69 @@ def test_parts_of_a_symbol_add_up(spark, monkeypatch):
         assert np.allclose(total[lm.SYMBOLS - lm.SHARED :], 1)
         own = [found.symbol(w) for w in seen if found.symbol(w) < lm.SYMBOLS - lm.SHARED]
         assert len(own) == len(set(own)) == 767
+
+
+def test_words_are_looked_up_together(spark, monkeypatch):
+    """All words of a text in one look-up, as split by the definition; an ending is hashed once, not once a word."""
+    vocabulary = lm.learn_vocabulary(spark.createDataFrame([(1, "the cat sat on the mat")], "doc_id long, text string"))
+    known = vocabulary.known.to_pylist()
+    asked, bucket = [], lm._bucket
+    monkeypatch.setattr(lm, "_bucket", lambda word: asked.append(word) or bucket(word))
+    texts = ["  The\tcat\x0b\x0csat ", None, "", " \r\n", "the\u00a0cat a\x1cb \u00c9T\u00c9 x", " ".join(f"{i}ing" for i in range(500))]
+    places, lengths = vocabulary.spell(texts)
+    words = [text.lower().encode().split() if text else [] for text in texts]
+    assert lengths.tolist() == [len(w) for w in words]
+    plain = [known.index(w.decode()) if w.decode() in known else len(known) + bucket(w) for text in words for w in text]
+    assert places.tolist() == plain
+    assert len(asked) <= 6
+
+
+def test_counts_are_those_of_all_words(spark, monkeypatch):
+    """Whatever the chunks, and with rows that are empty or longer than a chunk."""
+    monkeypatch.setattr(lm, "CHUNK", 40)
+    rows, _ = corpus_rows(n=60)
+    docs = spark.createDataFrame([*rows, rows[0], (None, None), (7, " \n")], "doc_id long, text string").repartition(3)
+    vocabulary = lm.learn_vocabulary(docs)
+    seen = Counter(w for _, text in [*rows, rows[0]] for w in text.split())
+    assert vocabulary.counts.sum() == sum(seen.values())
+    assert all(vocabulary.counts[vocabulary.symbol(w.encode())] == n for w, n in seen.most_common(50))
+    spelt = {r.doc_id: r.symbols for r in lm.spelled(docs, vocabulary).collect()}
+    assert all(spelt[i] == [vocabulary.symbol(w.encode()) for w in text.split()] for i, text in rows if i != 7) and spelt[None] == []
+
+
+def test_steps_follow_the_definition(monkeypatch):
+    """Steps with some classes absent against gradients of the plain formula; the largest logit is not taken in every step."""
+    rng = np.random.default_rng(1)
+    vocabulary = lm.Vocabulary(None, None, None, rng.integers(0, 50, lm.SYMBOLS).astype(float))
+    n = 2 * lm.STEP + 70
+    near, target = (rng.integers(0, lm.SYMBOLS // 3, shape).astype(np.int16) for shape in ((n, 2 * lm.SIDE), n))
+    target[lm.STEP :] = target[lm.STEP :] // lm.CLASSES * lm.CLASSES + target[lm.STEP :] % 5
+    start = lm.first_weights(vocabulary)
+    asked, largest = [], lm._largest
+    monkeypatch.setattr(lm, "_largest", lambda *a: asked.append(1) or largest(*a))
+    own = lm.Replica(start)
+    own.descend(near, target)
+    assert len(asked) == 2
+    w = {name: x.astype(float) for name, x in start.items()}
+    moved = {name: np.full_like(x, 1e-4) for name, x in w.items()}
+    for at in range(0, n, lm.STEP):
+        a, t = near[at : at + lm.STEP], target[at : at + lm.STEP]
+        klass, member, every = t % lm.CLASSES, t // lm.CLASSES, np.arange(len(t))
+        x = w["embed"][a].reshape(len(t), -1)
+        hidden = np.tanh(x @ w["hidden"] + w["hidden_bias"])
+        outer = np.exp(hidden @ w["classes"].T + w["class_bias"])
+        inner = np.exp(np.einsum("nh,nmh->nm", hidden, w["members"][klass]) + w["member_bias"][klass])
+        outer, inner = (p / p.sum(axis=1, keepdims=True) / len(t) for p in (outer, inner))
+        outer[every, klass] -= 1 / len(t)
+        inner[every, member] -= 1 / len(t)
+        back = (outer @ w["classes"] + np.einsum("nm,nmh->nh", inner, w["members"][klass])) * (1 - hidden**2)
+        g = {name: np.zeros_like(x) for name, x in w.items()}
+        np.add.at(g["members"], klass, inner[:, :, None] * hidden[:, None, :])
+        np.add.at(g["member_bias"], klass, inner)
+        np.add.at(g["embed"], a.ravel(), (back @ w["hidden"].T).reshape(-1, lm.WIDTH))
+        g |= {"classes": outer.T @ hidden, "class_bias": outer.sum(axis=0), "hidden": x.T @ back, "hidden_bias": back.sum(axis=0)}
+        for name in w:
+            moved[name] += g[name] ** 2
+            w[name] -= lm.RATE * g[name] / np.sqrt(moved[name])
+    assert all(np.allclose(own.w[name], w[name], atol=2e-5) for name in w)
+    assert all(np.array_equal(start[name], x) for name, x in lm.first_weights(vocabulary).items())
