@@ -46,8 +46,8 @@ KNOWN, ADDED = 1 << 17, 0.5
 SCALE, SLAB = 1 << 30, 1024
 #: Bytes of texts whose words are looked up at once.
 CHUNK = 1 << 23
-#: Places handled at once, scored at once, and steps whose orders are found at once.
-PLACES, NEARBY, AHEAD = 1 << 16, 1 << 12, 16
+#: Places handled at once, and steps whose orders are found at once.
+PLACES, AHEAD = 1 << 16, 16
 SEED = 9
 
 SHAPES = {
@@ -266,19 +266,14 @@ def _hidden(w: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
 
 def log_probabilities(w: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Of each target symbol given its neighbours."""
+    klass = target % CLASSES
+    order, sizes = np.argsort(klass, kind="stable"), np.bincount(klass, minlength=CLASSES)
+    klass, member, every = klass[order], target[order] // CLASSES, np.arange(len(target))
+    hidden = _hidden(w, _seen(w, near.take(order, axis=0)))
+    outer, own = _powers(_outer(w, hidden), _largest(w["classes"], w["class_bias"]), every * CLASSES + klass)
+    inner, one = _powers(_inner(w, hidden, sizes, _spans(sizes)), _largest(w["members"], w["member_bias"]), every * MEMBERS + member)
     out = np.empty(len(target))
-    most = _largest(w["classes"], w["class_bias"]), _largest(w["members"], w["member_bias"])
-    # Parts of even size that stay in a core's cache.
-    ends = np.linspace(0, len(target), -(-len(target) // NEARBY) + 1).astype(int).tolist()
-    for start, end in zip(ends, ends[1:]):
-        klass, member = target[start:end] % CLASSES, target[start:end] // CLASSES
-        order, sizes = np.argsort(klass, kind="stable"), np.bincount(klass, minlength=CLASSES)
-        rows = np.arange(end - start)
-        hidden = _hidden(w, _seen(w, near[start:end].take(order, axis=0)))
-        outer, own = _powers(_outer(w, hidden), most[0], rows * CLASSES + klass[order])
-        inner, one = _powers(_inner(w, hidden, sizes, _spans(sizes)), most[1], rows * MEMBERS + member[order])
-        found = own.astype(np.float64) - np.log(outer.astype(np.float64)) + one - np.log(inner.astype(np.float64))
-        out[start:end][order] = found
+    out[order] = own.astype(np.float64) - np.log(outer.astype(np.float64)) + one - np.log(inner.astype(np.float64))
     return out
 
 
